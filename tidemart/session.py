@@ -14,6 +14,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows here are small and the work per row is not: let adaptive execution keep
+    # more, smaller partitions than its 1 MB default while cores are idle.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256KB",
     # Split a hot join partition even when the aggregate above would otherwise
     # have reused the join's partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
