@@ -7,6 +7,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions.columns import AsOf, as_day
 from tidemart.functions.numeric import ratio, safe_pct
@@ -87,7 +88,7 @@ def chi_squared(table: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi2_upper_tail(statistic: pd.Series) -> pd.Series:
     """P(X > x) for one degree of freedom; Spark SQL has no erfc."""
     return statistic.map(lambda x: None if pd.isna(x) else math.erfc(math.sqrt(x / 2)))

@@ -20,8 +20,9 @@ UPPER_QUANTILE = 0.99
 def histogram(df: DataFrame, value: Column | str, bins: int, by: Sequence[str]) -> DataFrame:
     """Counts and densities over equal bins between each class's minimum and maximum.
 
-    The last bin is closed.  Values are counted per distinct value first, so the
-    shuffles carry counts, not rows.  Empty bins are left out.
+    The last bin is closed.  A class with one single value gets bins over one unit
+    around it.  Values are counted per distinct value first, so the shuffles carry
+    counts, not rows.  Empty bins are left out.
     """
     by = list(by)
     column = F.col(value) if isinstance(value, str) else value
@@ -31,15 +32,17 @@ def histogram(df: DataFrame, value: Column | str, bins: int, by: Sequence[str])
         .groupBy(*by, "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    low, high = F.min("v"), F.max("v")
+    margin = F.when(low == high, F.lit(0.5)).otherwise(F.lit(0.0))
     edges = counts.groupBy(*by).agg(
-        F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("total")
+        (low - margin).alias("low"),
+        ((high + margin - (low - margin)) / bins).alias("width"),
+        F.sum("n").alias("total"),
     )
-    width = (F.col("high") - F.col("low")) / bins
-    slot = F.least(F.floor((F.col("v") - F.col("low")) / F.nullif(width, F.lit(0.0))), F.lit(bins - 1))
+    slot = F.floor((F.col("v") - F.col("low")) / F.col("width"))
     return (
         join_small_classes(counts, edges, by)
-        .withColumn("width", width)
-        .withColumn("bin", F.coalesce(slot, F.lit(0)).cast("int"))
+        .withColumn("bin", F.least(slot, F.lit(bins - 1)).cast("int"))
         .groupBy(*by, "bin", "low", "width", "total")
         .agg(F.sum("n").alias("n"))
         .select(

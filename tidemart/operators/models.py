@@ -22,7 +22,7 @@ from tidemart.functions.columns import AsOf, null_as_zero
 from tidemart.functions.numeric import non_negative, ratio
 from tidemart.operators import churn, demand
 from tidemart.operators.ranking import with_running_sums
-from tidemart.session import cut_lineage
+from tidemart.session import cut_lineage, fresh_dir
 
 SEED = 42
 TEST_SHARE = 0.2
@@ -68,6 +68,18 @@ def _with_vector(columns: Sequence[str], estimator) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features"), estimator])
 
 
+def detached(model: PipelineModel) -> PipelineModel:
+    """The model as saved and loaded again, in the shared folder.
+
+    A freshly fitted classifier holds its training summary, and through it the
+    session, which executors cannot receive once the session has used an
+    Observation (the sinks do, to count written rows).
+    """
+    path = fresh_dir(SparkSession.active(), "model")
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def churn_estimators() -> dict[str, object]:
     return {
         "Logistic Regression": LogisticRegression(maxIter=LOGISTIC_ITERATIONS),
@@ -81,7 +93,7 @@ def churn_estimators() -> dict[str, object]:
 def fit_churn(
     train: DataFrame, model: str = "Gradient Boosting", columns: Sequence[str] = churn.FEATURES
 ) -> PipelineModel:
-    return _with_vector(columns, churn_estimators()[model]).fit(train)
+    return detached(_with_vector(columns, churn_estimators()[model]).fit(train))
 
 
 def churn_metrics(scored: DataFrame) -> tuple[float, float]:

@@ -699,10 +699,12 @@ def _histogram(source: str, by: str, bins: int) -> str:
     return f"""
 select {by}, bin, {_round('low + bin * width', 6)} as bin_start, count(*) as n,
        cast(round(cast(cast(count(*) as double) / nullif(total * width, 0) as decimal(38,16)), 8) as double) as density
-from (select *, (high - low) / {bins} as width,
-             cast(coalesce(least(floor((v - low) / nullif((high - low) / {bins}, 0)), {bins - 1}), 0) as integer) as bin
-      from (select *, min(v) over w as low, max(v) over w as high, count(*) over w as total
-            from {source} window w as (partition by {by})))
+from (select *, cast(least(floor((v - low) / width), {bins - 1}) as integer) as bin
+      from (select {by}, v, total, first_v - margin as low,
+                   (last_v + margin - (first_v - margin)) / {bins} as width
+            from (select *, case when first_v = last_v then 0.5::double else 0.0::double end as margin
+                  from (select *, min(v) over w as first_v, max(v) over w as last_v, count(*) over w as total
+                        from {source} window w as (partition by {by})))))
 group by {by}, bin, low, width, total"""
 
 
