@@ -8,7 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemart.operators.ranking import (
-    exact_quantiles, with_global_ntile, with_global_rank, with_running_sums,
+    exact_quantiles, with_global_ntile, with_global_ntiles, with_global_rank, with_running_sums,
 )
 
 
@@ -68,3 +68,14 @@ def test_quantiles_without_groups(spark):
     row = exact_quantiles(df, "v", {"p80": 0.8, "p50": 0.5}).collect()[0]
     assert row.p80 == pytest.approx(_quantile([5, 1, 9, 3], 0.8))
     assert row.p50 == pytest.approx(4.0)
+
+
+@pytest.mark.parametrize("n", [1, 4, 6, 50])
+def test_several_tiles_in_one_sort(spark, n):
+    rows = [(f"k{i:03d}", i % 3, None if i % 4 == 0 else i * 7 % 10, f"name{i}") for i in range(n)]
+    df = spark.createDataFrame(rows, "key string, a int, b int, name string").repartition(3)
+    ours = with_global_ntiles(df, "key", {"ta": -F.col("a"), "tb": F.col("b")})
+    plain = df.withColumn("ta", F.ntile(5).over(W.orderBy(F.desc("a"), "key"))).withColumn(
+        "tb", F.ntile(5).over(W.orderBy(F.asc_nulls_last("b"), "key"))
+    )
+    assert sorted(map(str, ours.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))

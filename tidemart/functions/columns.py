@@ -34,17 +34,38 @@ def null_as_zero(df: DataFrame, columns: Iterable[str] | None = None) -> DataFra
     return df.na.fill(0, subset=list(columns) if columns is not None else None)
 
 
-def join_small_classes(rows: DataFrame, classes: DataFrame, keys: Iterable[str]) -> DataFrame:
-    """Inner join on keys where null equals null.
-
-    ``classes`` has one row per class.  No hint is given: adaptive execution
-    broadcasts it after measuring it, and otherwise splits a hot class.
-    """
+def join_null_safe(
+    rows: DataFrame, other: DataFrame, keys: Iterable[str], hint: str | None = None
+) -> DataFrame:
+    """Inner join on keys where null equals null, so rows with a null key stay."""
     keys = list(keys)
-    if not keys:
-        return rows.crossJoin(F.broadcast(classes))  # one row
-    renamed = classes.select(
-        *[F.col(k).alias(f"__{k}") for k in keys], *[c for c in classes.columns if c not in keys]
+    renamed = other.select(
+        *[F.col(k).alias(f"__{k}") for k in keys], *[c for c in other.columns if c not in keys]
     )
+    if hint:
+        renamed = renamed.hint(hint)
     same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
     return rows.join(renamed, same).drop(*[f"__{k}" for k in keys])
+
+
+def with_one_row(rows: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame (totals, limits) to every row.
+
+    The row is a scalar subquery: computed once, and an error if it is not one row.
+    """
+    packed = one_row.select(F.struct(*one_row.columns)).scalar()
+    return (
+        rows.withColumn("__one", packed)
+        .withColumns({c: F.col(f"__one.{c}") for c in one_row.columns})
+        .drop("__one")
+    )
+
+
+def join_small_classes(rows: DataFrame, classes: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Attach one row per class to the rows of the class.
+
+    No hint is given: adaptive execution broadcasts the classes after measuring
+    them, and otherwise splits a hot class.
+    """
+    keys = list(keys)
+    return join_null_safe(rows, classes, keys) if keys else with_one_row(rows, classes)

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemart.functions.columns import join_null_safe
+
 OPENING_STOCK = 100
 KEYS = ("product_id", "warehouse_id")
 _DAY = "__day"
@@ -57,7 +59,9 @@ def stock_ledger(
         .withColumn("__carry_low", F.min(F.col("__carry") + F.col("__day_low")).over(earlier))
         .select(*KEYS, _DAY, "__carry", "__carry_low")
     )
-    joined = local.join(carried, [*KEYS, _DAY])
+    # The carried rows grow with the movements: never broadcast them.  The left side
+    # is already partitioned and sorted by the join key.
+    joined = join_null_safe(local, carried, [*KEYS, _DAY], hint="merge")
 
     def level(running, *lows):
         floor = F.least(F.lit(0), *[opening + low for low in lows])  # least() skips nulls
@@ -119,7 +123,7 @@ def broken_links(ledger: DataFrame, order: Sequence[str], timestamp: str = "time
     )
     expected = F.when(F.col("__first"), F.col("__opening")).otherwise(F.col("__prev"))
     return (
-        local.join(closing, [*KEYS, _DAY])
+        join_null_safe(local, closing, [*KEYS, _DAY], hint="merge")
         .withColumn("expected_before", expected)
         .filter(F.col("expected_before") != F.col("quantity_before"))
         .select(*ledger.columns, "expected_before")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemart.functions.columns import AsOf, null_as_zero
+from tidemart.functions.columns import AsOf, null_as_zero, with_one_row
 from tidemart.functions.numeric import non_negative, ratio
 from tidemart.operators import churn, demand
 from tidemart.operators.ranking import with_running_sums
@@ -151,7 +151,7 @@ def roc_points(scored: DataFrame) -> DataFrame:
     )
     running = with_running_sums(counts, [F.desc("score")], {"tp": "positives", "fp": "negatives"})
     totals = running.agg(F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
-    return running.crossJoin(F.broadcast(totals)).select(  # totals is one row
+    return with_one_row(running, totals).select(
         "score", ratio("fp", "n").alias("fpr"), ratio("tp", "p").alias("tpr")
     )
 
@@ -260,6 +260,16 @@ def forecast_demand(
     )
 
 
+def actual_and_predicted(
+    features: DataFrame, model: PipelineModel, columns: Sequence[str], days: int = demand.RECENT_DAYS
+) -> DataFrame:
+    """Actual and predicted orders of the newest days."""
+    newest = demand.recent_days(_demand_rows(features, columns, []), days)
+    return model.transform(newest).select(
+        "order_date", F.col("label").alias("actual_orders"), F.col("prediction").alias("predicted_orders")
+    )
+
+
 def log_run(
     spark: SparkSession, path: str, name: str, params: dict, metrics: dict, model: PipelineModel | None = None
 ) -> None:

@@ -62,7 +62,7 @@ def with_global_rank(
 def tile_of_rank(rank: Column, total: Column, tiles: int) -> Column:
     """NTILE bucket of a 1-based rank: the first (total mod tiles) buckets hold one more row."""
     small = F.floor(total / tiles)
-    extra = total % tiles
+    extra = F.pmod(total, F.lit(tiles))
     wide_rows = extra * (small + 1)
     in_wide = F.ceil(rank / (small + 1))
     in_small = extra + F.ceil((rank - wide_rows) / F.nullif(small, F.lit(0)))
@@ -76,6 +76,43 @@ def with_global_ntile(df: DataFrame, order: Sequence[Column], name: str, tiles:
     )
 
 
+def with_global_ntiles(
+    df: DataFrame, key: str, measures: dict[str, Column], tiles: int = 5
+) -> DataFrame:
+    """Add several tile columns to a frame with one row per key, in one global sort.
+
+    ``measures`` maps output names to numeric values, smallest first; nulls come
+    last and ties are ordered by the key.  Each row is repeated once per measure,
+    all repetitions are sorted together by (measure, value, key), and the tiles
+    are brought back to the key.  A measure owns exactly one n-th of the sorted
+    rows, so its own ranks need no second count.
+    """
+    names = list(measures)
+    rest = [c for c in df.columns if c != key]
+    points = [
+        F.struct(F.lit(i).alias("slot"), measures[n].cast("decimal(30,4)").alias("value"))
+        for i, n in enumerate(names)
+    ]
+    long = df.select(key, *rest, F.explode(F.array(*points)).alias("__p")).select(
+        key,
+        F.col("__p.slot").alias("__slot_no"),
+        F.col("__p.value").alias("__value"),
+        *[F.when(F.col("__p.slot") == 0, F.col(c)).alias(c) for c in rest],
+    )
+    order = [F.col("__slot_no"), F.asc_nulls_last("__value"), F.col(key)]
+    ranked = with_global_rank(long, order, "__rank", "__all")
+    rows = (F.col("__all") / len(names)).cast("bigint")
+    tile = tile_of_rank(F.col("__rank") - F.col("__slot_no") * rows, rows, tiles)
+    return (
+        ranked.withColumn("__tile", tile)
+        .groupBy(key)
+        .agg(
+            *[F.max(c).alias(c) for c in rest],
+            *[F.max(F.when(F.col("__slot_no") == i, F.col("__tile"))).alias(n) for i, n in enumerate(names)],
+        )
+    )
+
+
 def with_running_sums(df: DataFrame, order: Sequence[Column], sums: dict[str, str]) -> DataFrame:
     """Add running totals (inclusive) of numeric columns along a total order.
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.columns import AsOf, as_day
+from tidemart.functions.columns import AsOf, as_day, with_one_row
 from tidemart.functions.numeric import safe_pct
-from tidemart.operators.ranking import with_global_ntile
+from tidemart.operators.ranking import with_global_ntiles
 
 TILES = 5
 
@@ -49,13 +49,6 @@ def first_match(rules, default: str):
     return chosen
 
 
-def score(raw: DataFrame, recency: list, frequency: list, monetary: list, tiles: int = TILES) -> DataFrame:
-    """Add r, f and m tiles; each argument is a total order, worst score first."""
-    scored = with_global_ntile(raw, recency, "r_score", tiles)
-    scored = with_global_ntile(scored, frequency, "f_score", tiles)
-    return with_global_ntile(scored, monetary, "m_score", tiles)
-
-
 def agg_rfm_scores(orders: DataFrame, as_of: AsOf, null_monetary: str = "zero") -> DataFrame:
     """RFM scores and segment per user; ties are ordered by user id.
 
@@ -65,16 +58,16 @@ def agg_rfm_scores(orders: DataFrame, as_of: AsOf, null_monetary: str = "zero")
     """
     raw = rfm_raw(orders, as_of)
     if null_monetary == "zero":
-        spend = F.coalesce("monetary", F.lit(0).cast("decimal(22,2)")).asc()
+        spend = F.coalesce("monetary", F.lit(0).cast("decimal(22,2)"))
     elif null_monetary == "last":
-        spend = F.asc_nulls_last("monetary")
+        spend = F.col("monetary")
     else:
         raise ValueError("null_monetary is 'zero' or 'last'")
-    scored = score(
+    scored = with_global_ntiles(
         raw,
-        [F.desc_nulls_last("recency_days"), F.col("user_id")],
-        [F.col("frequency").asc(), F.col("user_id")],
-        [spend, F.col("user_id")],
+        "user_id",
+        {"r_score": -F.col("recency_days"), "f_score": F.col("frequency"), "m_score": spend},
+        TILES,
     )
     return scored.select(
         "user_id",
@@ -101,7 +94,7 @@ def segment_summary(scores: DataFrame) -> DataFrame:
     )
     everyone = per_segment.agg(F.sum("customers").alias("all_customers"))
     return (
-        per_segment.crossJoin(F.broadcast(everyone))  # one row
+        with_one_row(per_segment, everyone)
         .withColumn("customer_pct", safe_pct("customers", "all_customers"))
         .drop("all_customers")
     )

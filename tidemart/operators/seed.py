@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.calendar import day_start, month_start, months_apart, whole_days
-from tidemart.functions.columns import AsOf
+from tidemart.functions.columns import AsOf, with_one_row
 from tidemart.functions.numeric import ratio, safe_pct
 from tidemart.operators.cohorts import LAST_PERIOD, user_months
-from tidemart.operators.ranking import exact_quantiles
-from tidemart.operators.rfm import first_match, score
+from tidemart.operators.ranking import exact_quantiles, with_global_ntiles
+from tidemart.operators.rfm import TILES, first_match
 
 # Spend limits of the tiers, ABC percentiles, defaults of missing features.
 TIERS = ((1000, "Platinum"), (400, "Gold"), (100, "Silver"))
@@ -77,7 +77,7 @@ def dim_products(products: DataFrame, transactions: DataFrame) -> DataFrame:
     )
     revenue = F.col("total_revenue").cast("double")
     return (
-        priced.crossJoin(F.broadcast(limits))  # one row
+        with_one_row(priced, limits)
         .withColumn(
             "abc_class",
             F.when(revenue > F.col("a_limit"), "A").when(revenue > F.col("b_limit"), "B").otherwise("C"),
@@ -133,12 +133,15 @@ def agg_rfm_scores(transactions: DataFrame, as_of: AsOf) -> DataFrame:
         F.count("transaction_id").alias("frequency"),
         F.sum("total_amount").cast("decimal(22,2)").alias("monetary"),
     ).withColumn("recency_days", whole_days(day_start(as_of), "last_purchase"))
-    tie = F.col("user_id")
-    scored = score(
+    scored = with_global_ntiles(
         raw,
-        [F.desc("last_purchase"), tie],
-        [F.col("frequency").asc(), tie],
-        [F.asc_nulls_last("monetary"), tie],
+        "user_id",
+        {
+            "r_score": -F.unix_micros("last_purchase"),
+            "f_score": F.col("frequency"),
+            "m_score": F.col("monetary"),
+        },
+        TILES,
     )
     r, f = F.col("r_score"), F.col("f_score")
     # Segment names and score thresholds of this variant.

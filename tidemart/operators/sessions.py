@@ -19,7 +19,9 @@ from tidemart.schemas import FUNNEL_STEPS
 
 
 def _cell(timestamp: str, gap_seconds: int) -> Column:
-    return F.floor(F.unix_micros(F.col(timestamp)) / F.lit(gap_seconds * 1_000_000)).cast("bigint")
+    """Start of the gap-wide stretch of time an event falls into, in microseconds."""
+    micros = F.unix_micros(F.col(timestamp))
+    return micros - F.pmod(micros, F.lit(gap_seconds * 1_000_000))
 
 
 def _measures(timestamp: str) -> list[Column]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.numeric import safe_pct
@@ -49,15 +49,15 @@ def stg_sessions(sessions: DataFrame) -> DataFrame:
     return sessions.filter(usable).withColumn("session_date", F.col("start_time").cast("date"))
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[Column | str]) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
     """Keep the newest row of each key, as an aggregation that combines map-side.
 
-    Copies of one key may be a third of the input; a window would gather them in
-    one task, ``max_by`` reduces them to one row per task first.
+    Rows compare by the ``newest`` columns and then by all others, so the survivor
+    is the same in every run.  Copies of one key may be a third of the input; a
+    window would gather them in one task, ``max`` leaves one row per task.
     """
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*newest)
-    kept = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("row"))
+    rest = [c for c in df.columns if c not in keys and c not in newest]
+    kept = df.groupBy(*keys).agg(F.max(F.struct(*newest, *rest)).alias("row"))
     return kept.select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in df.columns])
 
 
@@ -82,7 +82,5 @@ def flatten_orders(orders: DataFrame) -> DataFrame:
 
 
 def silver_transactions(orders: DataFrame) -> DataFrame:
-    """Flat transactions, one row per order: the newest event, then the larger row, wins."""
-    flat = flatten_orders(orders)
-    tie_break = [c for c in flat.columns if c not in ("order_id", "timestamp")]
-    return latest_per_key(flat, ["order_id"], ["timestamp", *tie_break])
+    """Flat transactions, one row per order: the newest event wins."""
+    return latest_per_key(flatten_orders(orders), ["order_id"], ["timestamp"])

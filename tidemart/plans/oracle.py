@@ -857,6 +857,10 @@ select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_i
        'https://shop.example/toys/' || json_extract_string(props, '$.k') as page_url,
        case when "value" >= 5 then 'Springfield' end as city
 from events""")
+_query("stream_bronze_feeds", (), """
+select 'clickstream' as table_name, count(*) as row_count from events
+union all select 'orders', count(*) from orders
+union all select 'inventory', count(*) from lineitem""")
 _query("stream_dedupe", ("ev",), """
 select event_id, user_id, "timestamp", event_type, cast(json_extract_string(props, '$.k') as integer) as product_id,
        device_type, country

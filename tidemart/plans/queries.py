@@ -15,7 +15,7 @@ from tidemart.operators import (
 )
 from tidemart.operators import sessions as session_ops
 from tidemart.plans.gold import build_gold
-from tidemart.session import configure, fresh_dir
+from tidemart.session import configure, cut_lineage, fresh_dir
 from tidemart.sources import catalog, sinks, supplied
 from tidemart.sources.catalog import Tables
 from tidemart.streaming import ingest, stateful
@@ -117,6 +117,11 @@ class Shop:
             self.dim_customers, self.rfm_scores, self.stg_sessions, self.events_as_of
         )
 
+    @cached_property
+    def feature_table(self) -> DataFrame:
+        """The churn features as a stored table, for work that reads them more than once."""
+        return cut_lineage(self.churn_features)
+
     @cached_property
     def ledger(self) -> DataFrame:
         return inventory.stock_ledger(supplied.movements(self.tables), supplied.MOVEMENT_ORDER)
@@ -660,7 +665,7 @@ def duration_histogram(s: Shop) -> DataFrame:
 @query
 def feature_histograms(s: Shop) -> DataFrame:
     columns = ("days_since_last_order", "total_orders", "rfm_total", "total_sessions_30d")
-    return histogram.feature_histograms(s.churn_features, columns)
+    return histogram.feature_histograms(s.feature_table, columns)
 
 
 @query
@@ -672,12 +677,12 @@ def dataset_profile(s: Shop) -> DataFrame:
 
 @query
 def drift_ks(s: Shop) -> DataFrame:
-    return drift.ks_by_column(drift.split_halves(s.churn_features, "user_id"))
+    return drift.ks_by_column(drift.split_halves(s.feature_table, "user_id"))
 
 
 @query
 def drift_dataset(s: Shop) -> DataFrame:
-    return drift.dataset_drift(drift.ks_by_column(drift.split_halves(s.churn_features, "user_id")))
+    return drift.dataset_drift(drift.ks_by_column(drift.split_halves(s.feature_table, "user_id")))
 
 
 # --- demand ---------------------------------------------------------------------------
@@ -758,8 +763,11 @@ def inventory_latest_stock(s: Shop) -> DataFrame:
 
 @query
 def ledger_continuity(s: Shop) -> DataFrame:
-    """Links that break when the returns are missing from the ledger."""
-    sales_only = s.ledger.filter("quantity_change < 0")
+    """Links that break when the returns are missing from the ledger.
+
+    The ledger is settled first, as the table it is in practice: the check reads it twice.
+    """
+    sales_only = cut_lineage(s.ledger).filter("quantity_change < 0")
     return inventory.broken_links(sales_only, supplied.MOVEMENT_ORDER)
 
 
@@ -856,6 +864,15 @@ def demand_cross_validation(s: Shop) -> DataFrame:
     return models.cross_validate_demand(s.daily)
 
 
+@query
+def demand_actual_vs_predicted(s: Shop) -> DataFrame:
+    """The newest 30 days against a model trained on the whole series."""
+    features = cut_lineage(demand.daily_features(s.daily))
+    rows = features.withColumn("label", F.col("total_orders").cast("double"))
+    model = models.fit_demand(rows, demand.DAILY_FEATURES)
+    return models.actual_and_predicted(features, model, demand.DAILY_FEATURES)
+
+
 @query
 def demand_forecast_model(s: Shop) -> DataFrame:
     _, model = models.train_demand(s.daily_revenue)
@@ -909,6 +926,29 @@ def stream_bronze_clickstream(s: Shop) -> DataFrame:
     return bronze.select("event_id", "user_id", "session_id", "timestamp", "event_type", "page_url", "city")
 
 
+@query
+def stream_bronze_feeds(s: Shop) -> DataFrame:
+    """All three topics as independent streams; rows per bronze table."""
+    base = fresh_dir(s.spark, "feeds")
+    live = StreamShop(s, "events", "orders", "lineitem")
+    clicks = click_event_json(live).drop("event_id")
+    heads = supplied.order_headers(live.tables)
+    order_events = heads.select(F.to_json(F.struct(*heads.columns)).alias("value"), "timestamp")
+    moves = supplied.movements(live.tables).withColumn(
+        "inventory_id", F.concat_ws("-", "l_orderkey", "l_linenumber", "product_id", "l_suppkey")
+    )
+    stock = moves.select(
+        F.to_json(F.struct("inventory_id", "product_id", "warehouse_id", "quantity_change")).alias("value"),
+        "timestamp",
+    )
+    raw = {"clickstream": clicks, "orders": order_events, "inventory": stock}
+    feeds = [ingest.Feed(label, raw[label], schema) for label, schema in schemas.STREAMS.items()]
+    for writing in ingest.start_feeds(feeds, f"{base}/bronze", f"{base}/checkpoint", AVAILABLE_NOW):
+        ingest.drain(writing)
+    tables = {label: catalog.read_table(s.spark, f"{base}/bronze/{label}") for label in raw}
+    return catalog.row_counts(tables)
+
+
 @query
 def stream_dedupe(s: Shop) -> DataFrame:
     live = StreamShop(s, "events")

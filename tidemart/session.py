@@ -36,7 +36,12 @@ def build_session(
     app_name: str = "tidemart", master: str | None = None, extra: dict[str, str] | None = None
 ) -> SparkSession:
     """Create a session; the master normally comes from spark-submit."""
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app_name)
+        .config("spark.ui.enabled", "false")
+        # Checkpoints of frames that are no longer referenced are deleted.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    )
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **(extra or {})}.items():
