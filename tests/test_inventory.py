@@ -35,11 +35,15 @@ def _walk(rows, opening):
     return out
 
 
-@pytest.mark.parametrize("opening", [0, 100])
-def test_ledger_matches_a_sequential_walk(spark, opening):
+def _fine():
+    return [F.col("timestamp").cast("date"), F.floor(F.col("seq") / 7)]
+
+
+@pytest.mark.parametrize("opening,chunk", [(0, None), (100, None), (100, _fine)])
+def test_ledger_matches_a_sequential_walk(spark, opening, chunk):
     rows = _moves(2000, [1, 2, 3, 4, 5], opening)
     df = spark.createDataFrame(rows, COLUMNS).repartition(6)
-    ledger = inventory.stock_ledger(df, ORDER, opening=opening)
+    ledger = inventory.stock_ledger(df, ORDER, opening=opening, chunk=chunk and chunk())
     got = {r.seq: (r.quantity_before, r.quantity_after) for r in ledger.collect()}
     assert got == _walk(rows, opening)
 
@@ -51,7 +55,8 @@ def test_continuity_and_snapshots(spark):
     tampered = ledger.withColumn(
         "quantity_before", F.when(F.col("seq") == 300, F.lit(-1)).otherwise(F.col("quantity_before"))
     )
-    assert [r.seq for r in inventory.broken_links(tampered, ORDER).collect()] == [300]
+    for chunk in (None, _fine()):
+        assert [r.seq for r in inventory.broken_links(tampered, ORDER, chunk=chunk).collect()] == [300]
 
     walked = _walk(rows, 100)
     closing, counts = {}, {}

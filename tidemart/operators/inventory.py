@@ -5,16 +5,18 @@ S the running sum of the changes, the sequential result equals
 ``opening + S - least(0, opening + min(S so far))``, so running sums and minima
 replace the row-by-row loop.
 
-One product in one warehouse may own a third of all movements, so the running
-values are taken per (product, warehouse, day), and only the day totals, at
-most one row per day, are carried across days.
+One product in one warehouse may own a third of all movements, so a key's
+movements are cut into chunks along their order.  Running values are taken per
+(product, warehouse, chunk), and one row per chunk is carried from chunk to
+chunk.  A chunk is a day unless the caller cuts finer, for days that are hot
+themselves; chunk columns must not decrease along the order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -22,11 +24,14 @@ from tidemart.functions.columns import join_null_safe
 
 OPENING_STOCK = 100
 KEYS = ("product_id", "warehouse_id")
-_DAY = "__day"
 
 
-def _days(movements: DataFrame, timestamp: str) -> DataFrame:
-    return movements.withColumn(_DAY, F.col(timestamp).cast("date"))
+def _chunked(
+    movements: DataFrame, timestamp: str, chunk: Sequence[Column] | None
+) -> tuple[DataFrame, list[str]]:
+    parts = list(chunk or [F.col(timestamp).cast("date")])
+    names = [f"__chunk{i}" for i in range(len(parts))]
+    return movements.withColumns(dict(zip(names, parts))), names
 
 
 def stock_ledger(
@@ -35,35 +40,36 @@ def stock_ledger(
     timestamp: str = "timestamp",
     change: str = "quantity_change",
     opening: int = OPENING_STOCK,
+    chunk: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Add quantity_before and quantity_after to every movement.
 
     ``order`` is the total order of the movements of one key and starts with the
     timestamp.
     """
-    in_day = W.partitionBy(*KEYS, _DAY).orderBy(*order)
-    through = in_day.rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = in_day.rowsBetween(W.unboundedPreceding, -1)
+    rows, cuts = _chunked(movements, timestamp, chunk)
+    inside = W.partitionBy(*KEYS, *cuts).orderBy(*order)
+    through = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = inside.rowsBetween(W.unboundedPreceding, -1)
     local = (
-        _days(movements, timestamp)
-        .withColumn("__sum", F.sum(change).over(through))
+        rows.withColumn("__sum", F.sum(change).over(through))
         .withColumn("__low", F.min("__sum").over(through))
         .withColumn("__low_before", F.min("__sum").over(before))
     )
-    per_day = local.groupBy(*KEYS, _DAY).agg(
-        F.sum(change).alias("__total"), F.min("__sum").alias("__day_low")
+    per_chunk = local.groupBy(*KEYS, *cuts).agg(
+        F.sum(change).alias("__total"), F.min("__sum").alias("__chunk_low")
     )
-    earlier = W.partitionBy(*KEYS).orderBy(_DAY).rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy(*KEYS).orderBy(*cuts).rowsBetween(W.unboundedPreceding, -1)
     carried = (
-        per_day.withColumn("__carry", F.coalesce(F.sum("__total").over(earlier), F.lit(0)))
-        .withColumn("__carry_low", F.min(F.col("__carry") + F.col("__day_low")).over(earlier))
-        .select(*KEYS, _DAY, "__carry", "__carry_low")
+        per_chunk.withColumn("__carry", F.coalesce(F.sum("__total").over(earlier), F.lit(0)))
+        .withColumn("__carry_low", F.min(F.col("__carry") + F.col("__chunk_low")).over(earlier))
+        .select(*KEYS, *cuts, "__carry", "__carry_low")
     )
     # The carried rows grow with the movements: never broadcast them.  The left side
     # is already partitioned and sorted by the join key.
-    joined = join_null_safe(local, carried, [*KEYS, _DAY], hint="merge")
+    joined = join_null_safe(local, carried, [*KEYS, *cuts], hint="merge")
 
-    def level(running, *lows):
+    def level(running: Column, *lows: Column) -> Column:
         floor = F.least(F.lit(0), *[opening + low for low in lows])  # least() skips nulls
         return (opening + running - floor).cast("bigint")
 
@@ -86,13 +92,9 @@ def daily_snapshot(
     latest row does.
     """
     events = F.lit(1).cast("bigint") if compat else F.count(F.lit(1))
-    return (
-        _days(ledger, timestamp)
-        .groupBy(*KEYS, F.col(_DAY).alias("snapshot_date"))
-        .agg(
-            F.max_by("quantity_after", F.struct(*order)).alias("quantity"),
-            events.alias("event_count"),
-        )
+    return ledger.groupBy(*KEYS, F.col(timestamp).cast("date").alias("snapshot_date")).agg(
+        F.max_by("quantity_after", F.struct(*order)).alias("quantity"),
+        events.alias("event_count"),
     )
 
 
@@ -104,26 +106,31 @@ def latest_stock(ledger: DataFrame, order: Sequence[str], timestamp: str = "time
     )
 
 
-def broken_links(ledger: DataFrame, order: Sequence[str], timestamp: str = "timestamp") -> DataFrame:
+def broken_links(
+    ledger: DataFrame,
+    order: Sequence[str],
+    timestamp: str = "timestamp",
+    chunk: Sequence[Column] | None = None,
+) -> DataFrame:
     """Movements whose quantity_before is not the previous quantity_after.
 
-    The previous row is looked up inside the day; a day's first row takes the
-    closing stock of the key's previous day with movements.
+    The previous row is looked up inside the chunk; a chunk's first row takes the
+    closing stock of the key's previous chunk.
     """
-    in_day = W.partitionBy(*KEYS, _DAY).orderBy(*order)
-    local = _days(ledger, timestamp).withColumn("__prev", F.lag("quantity_after").over(in_day)).withColumn(
-        "__first", F.row_number().over(in_day) == 1
+    rows, cuts = _chunked(ledger, timestamp, chunk)
+    inside = W.partitionBy(*KEYS, *cuts).orderBy(*order)
+    local = rows.withColumn("__prev", F.lag("quantity_after").over(inside)).withColumn(
+        "__first", F.row_number().over(inside) == 1
     )
     closing = (
-        _days(ledger, timestamp)
-        .groupBy(*KEYS, _DAY)
+        rows.groupBy(*KEYS, *cuts)
         .agg(F.max_by("quantity_after", F.struct(*order)).alias("__closing"))
-        .withColumn("__opening", F.lag("__closing").over(W.partitionBy(*KEYS).orderBy(_DAY)))
-        .select(*KEYS, _DAY, "__opening")
+        .withColumn("__opening", F.lag("__closing").over(W.partitionBy(*KEYS).orderBy(*cuts)))
+        .select(*KEYS, *cuts, "__opening")
     )
     expected = F.when(F.col("__first"), F.col("__opening")).otherwise(F.col("__prev"))
     return (
-        join_null_safe(local, closing, [*KEYS, _DAY], hint="merge")
+        join_null_safe(local, closing, [*KEYS, *cuts], hint="merge")
         .withColumn("expected_before", expected)
         .filter(F.col("expected_before") != F.col("quantity_before"))
         .select(*ledger.columns, "expected_before")

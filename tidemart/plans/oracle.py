@@ -861,10 +861,12 @@ _query("stream_bronze_feeds", (), """
 select 'clickstream' as table_name, count(*) as row_count from events
 union all select 'orders', count(*) from orders
 union all select 'inventory', count(*) from lineitem""")
-_query("stream_dedupe", ("ev",), """
+_UNIQUE_EVENTS = """
 select event_id, user_id, "timestamp", event_type, cast(json_extract_string(props, '$.k') as integer) as product_id,
        device_type, country
-from ev join (select event_id, props from events) using (event_id)""")
+from ev join (select event_id, props from events) using (event_id)"""
+_query("stream_dedupe", ("ev",), _UNIQUE_EVENTS)
+_query("stream_unique_append", ("ev",), _UNIQUE_EVENTS)
 _query("stream_sessions", ("sessions",), """
 select session_id, user_id, start_time, end_time, duration_seconds, page_views, products_viewed,
        add_to_cart_count, converted

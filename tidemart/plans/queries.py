@@ -124,7 +124,11 @@ class Shop:
 
     @cached_property
     def ledger(self) -> DataFrame:
-        return inventory.stock_ledger(supplied.movements(self.tables), supplied.MOVEMENT_ORDER)
+        return inventory.stock_ledger(
+            supplied.movements(self.tables),
+            supplied.MOVEMENT_ORDER,
+            chunk=supplied.movement_chunk(),
+        )
 
     @cached_property
     def assigned(self) -> DataFrame:
@@ -768,7 +772,9 @@ def ledger_continuity(s: Shop) -> DataFrame:
     The ledger is settled first, as the table it is in practice: the check reads it twice.
     """
     sales_only = cut_lineage(s.ledger).filter("quantity_change < 0")
-    return inventory.broken_links(sales_only, supplied.MOVEMENT_ORDER)
+    return inventory.broken_links(
+        sales_only, supplied.MOVEMENT_ORDER, chunk=supplied.movement_chunk()
+    )
 
 
 @query
@@ -956,6 +962,19 @@ def stream_dedupe(s: Shop) -> DataFrame:
     return _run_append(s, unique, "dedupe")
 
 
+@query
+def stream_unique_append(s: Shop) -> DataFrame:
+    """Every event sent twice into a stream that stores each event once."""
+    base = fresh_dir(s.spark, "unique")
+    live = StreamShop(s, "events").clickstream
+    twice = live.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    writing = stateful.write_unique(
+        twice, f"{base}/table", f"{base}/checkpoint", ["event_id"], AVAILABLE_NOW
+    )
+    ingest.drain(writing)
+    return s.spark.read.parquet(f"{base}/table")
+
+
 @query
 def stream_sessions(s: Shop) -> DataFrame:
     """Sessions that ended before the watermark: the newest event minus the delay."""

@@ -172,6 +172,14 @@ def movements(t: Tables) -> DataFrame:
 # agree on all of it also agree on the change, so swapping them alters nothing.
 MOVEMENT_ORDER = ("timestamp", "l_orderkey", "l_linenumber", "l_suppkey", "quantity_change")
 
+# Orders per chunk of a day: a day on which one product moves very often is cut further.
+ORDER_BLOCK = 1_000_000
+
+
+def movement_chunk() -> list[Column]:
+    """Day, then block of order numbers; both follow MOVEMENT_ORDER."""
+    return [F.col("timestamp").cast("date"), F.floor(F.col("l_orderkey") / ORDER_BLOCK)]
+
 
 def line_transactions(t: Tables) -> DataFrame:
     """One row per order line: the line-grain transactions of the alternate gold model."""

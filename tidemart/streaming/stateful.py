@@ -14,13 +14,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators.sessions import session_key
+from tidemart.sources.sinks import append_new
 
 
 def dedupe(stream: DataFrame, key: str, timestamp: str, delay: str) -> DataFrame:
-    """First record of each key within the delay."""
+    """First record of each key within the delay; see write_unique for very hot keys."""
     return stream.withWatermark(timestamp, delay).dropDuplicatesWithinWatermark([key])
 
 
+def write_unique(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], trigger: dict
+) -> StreamingQuery:
+    """Append only records whose key is not stored yet, without a delay limit.
+
+    Copies inside a micro-batch collapse map-side before the shuffle, so a record
+    that arrives very often does not fill one task.  A retried batch finds what it
+    has already written and adds nothing.
+    """
+
+    def store(batch: DataFrame, _batch_id: int) -> None:
+        append_new(batch, path, keys)
+
+    return (
+        stream.writeStream.option("checkpointLocation", checkpoint)
+        .foreachBatch(store)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def sessions(stream: DataFrame, gap: str, delay: str, timestamp: str = "timestamp") -> DataFrame:
     """Sessions per user, emitted once the watermark has passed their end."""
     kind = F.col("event_type")
