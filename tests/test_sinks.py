@@ -103,3 +103,41 @@ def test_build_seed_names(spark, sf_dir):
 def test_jdbc_options():
     options = sinks.jdbc_options("jdbc:x", "silver.t", {"user": "u"}, 5000)
     assert options == {"url": "jdbc:x", "dbtable": "silver.t", "batchsize": "5000", "user": "u"}
+
+
+def test_silver_partitions_are_replaced(spark):
+    from tidemart.plans import silver
+
+    root = fresh_dir(spark, "t-silver")
+    rows = [(str(i), dt.date(2025, 1, 1 + i % 3)) for i in range(9)]
+    table = spark.createDataFrame(rows, "order_id string, order_date date")
+    parts = {"transactions": ["order_date"]}
+    assert silver.write_silver({"transactions": table}, root, parts) == {"transactions": 9}
+    again = table.filter("order_date = '2025-01-02'").limit(1)
+    assert silver.write_silver({"transactions": again}, root, parts) == {"transactions": 1}
+    stored = spark.read.parquet(f"{root}/transactions")
+    assert stored.groupBy("order_date").count().orderBy("order_date").toPandas()["count"].tolist() == [3, 1, 3]
+    assert stored.filter("ingested_at is null").count() == 0
+
+
+def test_missing_bronze_is_reported(spark):
+    import pytest
+
+    from tidemart.plans import silver
+
+    full, empty = spark.range(1), spark.range(0)
+    silver.require_bronze({"orders": full})
+    with pytest.raises(ValueError, match="inventory"):
+        silver.require_bronze({"orders": full, "inventory": empty})
+
+
+def test_bronze_reader(spark):
+    from tidemart.plans import silver
+
+    root = fresh_dir(spark, "t-bronze-root")
+    for name in silver.BRONZE_TABLES:
+        rows = [(1, dt.date(2025, 1, 1)), (2, dt.date(2025, 1, 2))]
+        df = spark.createDataFrame(rows, "id int, ingestion_date date")
+        df.write.partitionBy("ingestion_date").parquet(f"{root}/{name}")
+    assert silver.read_bronze(spark, root)["orders"].count() == 2
+    assert silver.read_bronze(spark, root, since="2025-01-02")["inventory"].count() == 1

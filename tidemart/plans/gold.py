@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemart.functions.columns import AsOf
 from tidemart.operators import churn, cohorts, customers, funnel, orders, products, rfm, seed, staging
@@ -60,6 +61,22 @@ def build_seed(sources: dict[str, DataFrame], as_of: AsOf) -> dict[str, DataFram
     }
 
 
+# Stored order of the report tables.
+STORED_ORDER = {
+    "agg_daily_revenue": [("order_date", False)],
+    "agg_funnel": [("session_date", False)],
+    "agg_cohort_retention": [("cohort_month", True), ("period_number", True)],
+}
+
+
+def in_stored_order(name: str, df: DataFrame) -> DataFrame:
+    """Report tables sorted as they are read; other tables stay as they are."""
+    keys = STORED_ORDER.get(name)
+    if not keys:
+        return df
+    return df.orderBy(*[F.col(c).asc() if up else F.col(c).desc() for c, up in keys])
+
+
 def publish(sources: dict[str, DataFrame], as_of: AsOf, prefix: str = "") -> list[str]:
     """Register staging as views and write gold as tables; later models read what was written."""
     for name, df in build_staging(sources).items():
@@ -68,7 +85,7 @@ def publish(sources: dict[str, DataFrame], as_of: AsOf, prefix: str = "") -> lis
     written: list[str] = []
 
     def table(name: str, df: DataFrame) -> DataFrame:
-        publish_table(df, f"{prefix}{name}")
+        publish_table(in_stored_order(name, df), f"{prefix}{name}")
         written.append(f"{prefix}{name}")
         return spark.table(f"{prefix}{name}").drop("built_at")
 

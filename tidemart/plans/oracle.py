@@ -421,6 +421,14 @@ _query("silver_append_idempotent", ("heads",), """
 select count(*) as first_run, cast(0 as bigint) as second_run, count(*) as stored_rows,
        cast(sum(total_amount) as decimal(22,2)) as stored_amount from heads""")
 
+_query("silver_build_report", ("sessions",), """
+with sizes as (
+  select 'transactions' as table_name, count(*) as n from orders
+  union all select 'sessions', count(*) from sessions
+  union all select 'inventory_snapshots', count(*)
+    from (select distinct l_partkey, l_suppkey % 5, cast(l_shipdate as date) from lineitem))
+select table_name, n as row_count, n as first_run, n as second_run from sizes""")
+
 # --- sessions and funnel ---------------------------------------------------------------
 
 _query("sessions_by_gap", ("sessions",), "select * from sessions")
