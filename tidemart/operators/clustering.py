@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.functions.columns import null_as_zero
+from tidemart.functions.columns import null_as_zero, with_one_row
+from tidemart.functions.numeric import ratio
 from tidemart.session import cut_lineage
 
 FEATURES = ("recency_days", "frequency", "monetary")
@@ -19,21 +19,34 @@ CLUSTERS = 5
 SEED = 42
 
 
+def standardize(scores: DataFrame) -> DataFrame:
+    """Features with mean 0 and population deviation 1; a constant feature becomes 0."""
+    numbers = null_as_zero(
+        scores.select("user_id", *[F.col(c).cast("double").alias(c) for c in FEATURES])
+    )
+    spread = numbers.agg(
+        *[F.avg(c).alias(f"avg_{c}") for c in FEATURES],
+        *[F.stddev_pop(c).alias(f"std_{c}") for c in FEATURES],
+    )
+    return with_one_row(numbers, spread).select(
+        "user_id",
+        *FEATURES,
+        *[
+            F.coalesce(ratio(F.col(c) - F.col(f"avg_{c}"), f"std_{c}"), F.lit(0.0)).alias(f"z_{c}")
+            for c in FEATURES
+        ],
+    )
+
+
 def scaled_features(scores: DataFrame) -> DataFrame:
-    """Standardized feature vector per user (sample standard deviation).
+    """Standardized feature vector per user.
 
     Iterative training reads the result many times, so it is cut from its lineage.
     """
-    numbers = null_as_zero(
-        scores.select("user_id", *[F.col(c).cast("double").alias(c) for c in FEATURES])
+    assembler = VectorAssembler(inputCols=[f"z_{c}" for c in FEATURES], outputCol="features")
+    return cut_lineage(
+        assembler.transform(standardize(scores)).select("user_id", *FEATURES, "features")
     )
-    stages = [
-        VectorAssembler(inputCols=list(FEATURES), outputCol="raw"),
-        StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
-    ]
-    settled = cut_lineage(numbers)
-    scaler: PipelineModel = Pipeline(stages=stages).fit(settled)
-    return cut_lineage(scaler.transform(settled).drop("raw"))
 
 
 def elbow(scaled: DataFrame, ks: Iterable[int] = ELBOW_KS, seed: int = SEED) -> DataFrame:

@@ -855,6 +855,14 @@ d as (select *, cast(subtotal - discount_amount + tax_amount as decimal(18,2)) a
 select order_id, subtotal, discount_amount, tax_amount, total_amount, stated_total,
        abs(total_amount - stated_total) > 0.01 as mismatch from d""")
 
+# --- models --------------------------------------------------------------------------------
+
+_query("rfm_standardized", ("rfm",), "select user_id, " + ", ".join(
+    f"""coalesce({_round(f"(cast({c} as double) - (select avg(cast({c} as double)) from rfm))"
+                        f" / nullif((select stddev_pop(cast({c} as double)) from rfm), 0)", 6)}, 0.0::double) as z_{c}"""
+    for c in ("recency_days", "frequency", "monetary")
+) + " from rfm")
+
 # --- streaming: the batch result over the same rows, minus what the watermark withholds -------
 
 _query("stream_bronze_clickstream", (), """

@@ -823,6 +823,12 @@ def order_pricing_check(s: Shop) -> DataFrame:
 # --- models ---------------------------------------------------------------------------
 
 
+@query
+def rfm_standardized(s: Shop) -> DataFrame:
+    z = clustering.standardize(s.rfm_scores)
+    return z.select("user_id", *[F.round(f"z_{c}", 6).alias(f"z_{c}") for c in clustering.FEATURES])
+
+
 @query
 def kmeans_elbow(s: Shop) -> DataFrame:
     return clustering.elbow(clustering.scaled_features(s.rfm_scores))
