@@ -53,20 +53,17 @@ def parse_and_enrich(raw: DataFrame, schema: T.StructType) -> DataFrame:
 
     Works the same on streams and batches.  Records whose key, the schema's first
     field, is null did not parse and are left out; ``with_quarantine`` keeps them.
+    The parsed struct is flattened by a generator, which the key filter is not
+    pushed through, so each record is parsed once.
     """
     key = schema.fields[0].name
+    record = F.from_json(F.col("value").cast("string"), schema)
     return (
-        raw.select(
-            F.from_json(F.col("value").cast("string"), schema).alias("data"),
-            F.col("timestamp").alias("source_timestamp"),
-        )
-        .select(
-            "data.*",
-            "source_timestamp",
-            F.current_date().alias(PARTITION),
-            F.current_timestamp().alias("ingestion_timestamp"),
-        )
+        raw.withColumnRenamed("timestamp", "source_timestamp")
+        .select(F.inline(F.array(record)), "source_timestamp")
         .filter(F.col(key).isNotNull())
+        .withColumn(PARTITION, F.current_date())
+        .withColumn("ingestion_timestamp", F.current_timestamp())
     )
 
 
