@@ -12,3 +12,44 @@ LLM_ORACLE: dict[str, str] = {
             FROM documents)
     """,
 }
+
+LLM_ORACLE["op2_quality_rules"] = r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+    ), split AS (
+        SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+               list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
+        FROM texts
+    ), placed AS (
+        SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM split
+    ), windows AS (
+        SELECT r, at, word, lead(word, 1) OVER p AS word2, lead(word, 2) OVER p AS word3
+        FROM placed WINDOW p AS (PARTITION BY r ORDER BY at)
+    ), found AS (
+        SELECT r, at, CASE WHEN word3 IS NOT NULL
+                           THEN count(*) OVER (PARTITION BY r, word, word2, word3) > 1 ELSE false END AS twice
+        FROM windows
+    ), under AS (
+        SELECT r, max(twice::INT) OVER (PARTITION BY r ORDER BY at ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS hit
+        FROM found
+    ), repeats AS (
+        SELECT r, sum(hit)::BIGINT AS n_repeat_words FROM under GROUP BY r
+    ), measured AS (
+        SELECT s.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+               (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+               len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+               coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+        FROM split s LEFT JOIN repeats USING (r)
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+           n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           bits = 0 AS kept, n_lines, bits AS failed_bits
+    FROM (
+        SELECT *, ((n_words < 50)::BIGINT
+                   + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
+                   + 4 * (100 * n_symbols > 40 * n_words)::BIGINT
+                   + 8 * (100 * n_dup_lines > 30 * n_lines)::BIGINT
+                   + 16 * (n_words > 0 AND word_chars < 2 * n_words)::BIGINT
+                   + 32 * (word_chars > 15 * n_words)::BIGINT)::BIGINT AS bits
+        FROM measured)
+"""

@@ -8,8 +8,34 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_tree, exact_dedup, packing
-from tidemart.llm.common import documents
+from tidemart.llm import bpe_tree, exact_dedup, langid, minhash, packing, rules, toxicity
+from tidemart.llm.common import crc_bucket, documents
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.ledger(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~rules.passes("base")).alias("base_failed"), rules.passes(rules.CURRENT).alias("kept"),
+        "n_lines", "failed_bits",
+    )
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_bucket("doc_id", 3) == 1
+    found = langid.identify(docs, langid.fit(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), percent=85)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    held_out = crc_bucket("doc_id", 5) == 0
+    found = toxicity.score_documents(docs, toxicity.fit(docs, labels, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,5 +57,14 @@ def op8_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_exact_dedup, op7_best_fit_packing, op8_bpe_tree)
+    f.__name__: f
+    for f in (
+        op2_quality_rules,
+        op3_language_id,
+        op4_minhash_near_dedup,
+        op5_toxicity,
+        op6_exact_dedup,
+        op7_best_fit_packing,
+        op8_bpe_tree,
+    )
 }
