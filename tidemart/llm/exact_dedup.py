@@ -25,8 +25,14 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import staged
 from tidemart.session import fresh_dir
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STATE_STORE = "spark.sql.streaming.stateStore"
+STATE_CONF = {
+    f"{STATE_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # There are as many stores as shuffle partitions, most of them small: reserve no disk ahead
+    # for each, and save the changes of a micro-batch instead of whole files.
+    f"{STATE_STORE}.rocksdb.allowFAllocate": "false",
+    f"{STATE_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 #: Distinct digests (32 bytes each) that may be broadcast to pick the hits' texts.
 BROADCAST_DIGESTS = 200_000
@@ -65,8 +71,9 @@ def update_state(spark: SparkSession, feed: DataFrame, files_per_trigger: int =
     def save(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
     try:
         query = (
             stream.writeStream.outputMode("update")
@@ -77,10 +84,11 @@ def update_state(spark: SparkSession, feed: DataFrame, files_per_trigger: int =
         )
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     # A digest's counts only grow, so its last state is its largest.
     return (
         spark.read.parquet(out)

@@ -17,6 +17,7 @@ template, else 0; repeated rows are answered each; an empty table gives no rows.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -47,8 +48,10 @@ TEMPLATES = (
     ("All rights reserved.", "reserved"),
 )
 
+#: Words of lower-cased text, of text in either case, and what stands between words in either case.
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-GAP = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]"
+ANY_WORD = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+GAP = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -58,8 +61,8 @@ def lowered(text: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    """Words of a lower-cased text, with the classes taken in either case."""
-    return F.regexp_extract_all(text, F.lit(f"({WORD.replace('x60', 'x40').replace('x3A-', 'x3A-')}|{WORD})"), F.lit(1))
+    """Words of a text that has been lower-cased."""
+    return F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
 
 
 def spread(words: list[str]) -> str:
@@ -68,14 +71,12 @@ def spread(words: list[str]) -> str:
 
 
 def template_words(text: str) -> list[str]:
-    import re
-
     return list(dict.fromkeys(re.findall("[0-9a-z]+", text.lower())))
 
 
-def needed(size: Column | int) -> Column | int:
+def needed(size: int) -> int:
     """Words of a template of this size that a block must hold."""
-    return -(-THRESHOLD * size // 100) if isinstance(size, int) else F.ceil(size * THRESHOLD / 100)
+    return -(-THRESHOLD * size // 100)
 
 
 def word_order(docs: DataFrame) -> dict[str, int]:
@@ -90,13 +91,13 @@ def word_order(docs: DataFrame) -> dict[str, int]:
 def template_index(docs: DataFrame) -> DataFrame:
     """One row per template and prefix word: word, place, template words, label."""
     order = word_order(docs)
-    rows = []
+    rows: list[tuple] = []
     for number, (text, label) in enumerate(TEMPLATES):
         words = sorted(template_words(text), key=lambda word: (order[word], word))
         prefix = len(words) - needed(len(words)) + 1
-        rows += [(word, place, number, words, label) for place, word in enumerate(words[:prefix])]
+        rows += [(word, place, number, words, needed(len(words)), label) for place, word in enumerate(words[:prefix])]
     return docs.sparkSession.createDataFrame(
-        rows, "word string, place int, template int, template_words array<string>, label string"
+        rows, "word string, place int, template int, template_words array<string>, required int, label string"
     )
 
 
@@ -106,13 +107,12 @@ def find_templates(blocks: DataFrame, index: DataFrame) -> DataFrame:
     held = F.array_distinct(words_of(lowered(F.col("block"))))
     tokens = blocks.select(*keys, held.alias("words")).select(*keys, "words", F.explode("words").alias("word"))
     size, total = F.size("words"), F.size("template_words")
-    required = F.ceil(total * THRESHOLD / 100)
     common = F.size(F.array_intersect("words", "template_words"))
     return (
         tokens.join(F.broadcast(index), "word")
-        .filter((size >= required) & (total - F.col("place") >= required))
-        .select(*keys, "label", common.alias("common"), total.alias("total"))
-        .filter("100 * common >= %d * total" % THRESHOLD)
+        .filter((size >= F.col("required")) & (total - F.col("place") >= F.col("required")))
+        .select(*keys, "label", "required", common.alias("common"), total.alias("total"))
+        .filter("common >= required")
         .select(*keys, "label", (F.col("common") / F.col("total")).alias("containment"))
     )
 
@@ -147,7 +147,7 @@ def scan(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64(text).alias("content"),
-        F.regexp_count(text, F.lit(f"(?i){WORD}")).cast("long").alias("n_words"),
+        F.regexp_count(text, F.lit(ANY_WORD)).cast("long").alias("n_words"),
         F.when(text.rlike(any_phrase), bound).otherwise(none).alias("places"),
     )
     blocks = docs.filter(F.col("text").rlike(any_prefix)).select(

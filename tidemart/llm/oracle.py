@@ -18,19 +18,19 @@ LLM_ORACLE["op2_quality_rules"] = r"""
         SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
     ), split AS (
         SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
-               list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
+               list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
         FROM texts
     ), placed AS (
-        SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS at FROM split
+        SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split
     ), windows AS (
-        SELECT r, at, word, lead(word, 1) OVER p AS word2, lead(word, 2) OVER p AS word3
-        FROM placed WINDOW p AS (PARTITION BY r ORDER BY at)
+        SELECT r, pos, word, lead(word, 1) OVER p AS word2, lead(word, 2) OVER p AS word3
+        FROM placed WINDOW p AS (PARTITION BY r ORDER BY pos)
     ), found AS (
-        SELECT r, at, CASE WHEN word3 IS NOT NULL
+        SELECT r, pos, CASE WHEN word3 IS NOT NULL
                            THEN count(*) OVER (PARTITION BY r, word, word2, word3) > 1 ELSE false END AS twice
         FROM windows
     ), under AS (
-        SELECT r, max(twice::INT) OVER (PARTITION BY r ORDER BY at ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS hit
+        SELECT r, max(twice::INT) OVER (PARTITION BY r ORDER BY pos ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS hit
         FROM found
     ), repeats AS (
         SELECT r, sum(hit)::BIGINT AS n_repeat_words FROM under GROUP BY r
@@ -53,3 +53,60 @@ LLM_ORACLE["op2_quality_rules"] = r"""
                    + 32 * (word_chars > 15 * n_words)::BIGINT)::BIGINT AS bits
         FROM measured)
 """
+
+#: The words of each license notice, how many must be found, and its label.
+_NOTICES = """VALUES
+               (0, ['licensed', 'under', 'the', 'apache', 'license', 'version', '2', '0'], 8, 'apache-2.0'),
+               (1, ['released', 'under', 'the', 'mit', 'license'], 5, 'mit'),
+               (2, ['permission', 'is', 'hereby', 'granted', 'free', 'of', 'charge', 'to', 'any', 'person', 'obtaining', 'a', 'copy', 'this', 'software'], 14, 'mit'),
+               (3, ['licensed', 'under', 'cc', 'by', 'nc', '4', '0'], 7, 'cc-by-nc'),
+               (4, ['licensed', 'under', 'cc', 'by', 'sa', '4', '0'], 7, 'cc-by-sa'),
+               (5, ['this', 'work', 'is', 'licensed', 'under', 'the', 'gnu', 'general', 'public', 'license', 'version', '3'], 11, 'gpl-3.0'),
+               (6, ['redistribution', 'and', 'use', 'in', 'source', 'binary', 'forms', 'with', 'or', 'without', 'modification', 'are', 'permitted'], 12, 'bsd'),
+               (7, ['this', 'source', 'code', 'form', 'is', 'subject', 'to', 'the', 'terms', 'of', 'mozilla', 'public', 'license', 'v', '2', '0'], 15, 'mpl-2.0'),
+               (8, ['this', 'is', 'free', 'and', 'unencumbered', 'software', 'released', 'into', 'the', 'public', 'domain'], 10, 'unlicense'),
+               (9, ['all', 'rights', 'reserved'], 3, 'reserved')"""
+
+LLM_ORACLE["op9_license_scan"] = rf"""
+    WITH notices(t, words, required, label) AS (
+        {_NOTICES}
+    ), texts AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+        FROM documents
+    ), split AS (
+        SELECT *, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+    ), placed AS (
+        SELECT r, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM split
+    ), windows AS (
+        SELECT r, pos, word, lead(word, 1) OVER p AS word2, lead(word, 2) OVER p AS word3
+        FROM placed WINDOW p AS (PARTITION BY r ORDER BY pos)
+    ), places AS (
+        SELECT r, pos, 'cc-by' AS label FROM windows WHERE word = 'cc' AND word2 = 'by'
+        UNION ALL
+        SELECT r, pos, 'gpl' FROM windows WHERE word = 'general' AND word2 = 'public' AND word3 = 'license'
+        UNION ALL
+        SELECT r, pos, 'reserved' FROM windows WHERE word = 'all' AND word2 = 'rights' AND word3 = 'reserved'
+    ), base AS (
+        SELECT r, count(*) AS n_base, min(pos)::BIGINT AS first_word, max(pos)::BIGINT AS last_word,
+               string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+        FROM places GROUP BY r
+    ), blocks AS (
+        SELECT r, unnest(string_split(text, chr(10))) AS block FROM texts
+    ), held AS (
+        SELECT r, n.label, n.required, len(n.words) AS total,
+               len(list_intersect(regexp_extract_all(block, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), n.words)) AS common
+        FROM blocks, notices n
+    ), found AS (
+        SELECT r, label, common / total AS containment FROM held WHERE common >= required
+    ), best AS (
+        SELECT r, max(containment) AS best FROM found GROUP BY r
+    ), every AS (
+        SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+        FROM (SELECT r, label FROM places UNION ALL SELECT r, label FROM found) GROUP BY r
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+           coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+           CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score
+    FROM split LEFT JOIN base USING (r) LEFT JOIN best USING (r) LEFT JOIN every USING (r)
+"""

@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_tree, exact_dedup, langid, minhash, packing, rules, toxicity
+from tidemart.llm import bpe_tree, exact_dedup, langid, licenses, line_dedup, minhash, packing, rules, token_counts, toxicity
 from tidemart.llm.common import crc_bucket, documents
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summarise(line_dedup.mark_lines(documents(spark, sf_dir)))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.ledger(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -56,9 +60,18 @@ def op8_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_line_dedup,
         op2_quality_rules,
         op3_language_id,
         op4_minhash_near_dedup,
@@ -66,5 +79,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_exact_dedup,
         op7_best_fit_packing,
         op8_bpe_tree,
+        op9_license_scan,
+        op10_token_counts,
     )
 }

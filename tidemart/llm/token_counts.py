@@ -4,8 +4,8 @@ An Aho-Corasick automaton over the vocabulary enumerates every piece that ends a
 dynamic programming carries the best score and its number of pieces.  Ties are the tokenizer's:
 a segmentation replaces another only with a higher score, and pieces are tried from the earliest
 start on.  A character without a piece of its own scores UNKNOWN_PENALTY below the worst piece and
-counts as its UTF-8 bytes.  Sums are exact here, where the tokenizer's 32-bit floats begin to round
-at the magnitude of whole documents; the results are those of exact sums.
+counts as its UTF-8 bytes.  Scores are summed as doubles, as the `tokenizers` library's unigram model
+does; 32-bit sums (sentencepiece) lose small differences against the scores of unused marks.
 
 Spaces are word marks that pieces can only begin with, and no piece holds a line end.  Both are
 checked when the vocabulary is loaded.  So the best segmentation of a text is that of its words
