@@ -44,7 +44,7 @@ class WordTokenizer:
     """
 
     #: Words and letter runs that are remembered at once, to bound a worker's memory.
-    WORDS, RUNS = 150_000, 400_000
+    WORDS, RUNS = 400_000, 900_000
     WORD_END = "</w>"
     PLAIN = re.compile("([^\\W\\d_¹²³¼½¾ɐ-\U0010ffff]+)([.,;:!?]*)")
 

@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.llm.minhash import mixed, shingles
+
 #: The closed word classes, in English, German, French and Spanish.
 NEGATIONS = (
     "not never no without neither nor cannot nicht nie kein keine ohne weder "
@@ -51,11 +53,13 @@ THREATS = (
     "détruire brûler matar golpear destruir quemar"
 ).split()
 
-#: Labelled documents that are sampled from either label, in the mean.
-PER_LABEL = 2500
+#: Labelled documents that are sampled from clean and toxic ones, in the mean.
+PER_LABEL = (10_000, 3_000)
 STEM_LENGTHS = range(4, 9)
-LEAST_Z = 7.0
-LEAST_SUPPORT = 10
+LEAST_Z = 6.5
+LEAST_SUPPORT = 5
+#: Sketches by which near copies are taken out of the sample, so that none votes many times.
+SKETCHES = 3
 #: Stems and words that are learned: the most telling ones.
 LEXICON = 2000
 REACH = 3
@@ -186,23 +190,37 @@ def transduce(clause: list[tuple[int, float]]) -> list[float]:
     return out
 
 
-def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int) -> DataFrame:
-    """(text, toxic) of labelled documents for which learn holds: distinct texts, both labels."""
-    marked = labels.filter(F.col("toxic").isNotNull()).select(F.col("doc_id").alias("_id"), "toxic").distinct()
+def without_near_copies(rows: DataFrame) -> DataFrame:
+    """Of (text, toxic) rows that share one of a few minima over their shingles, one each."""
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in batch.column(0).to_pylist():
+                hashes = shingles(text)
+                least = [mixed(hashes ^ np.uint64(seed)).min() if len(hashes) else np.uint64(0) for seed in range(SKETCHES)]
+                found.append(np.array(least).view("i8").tolist())
+            yield batch.append_column("sketches", pa.array(found, pa.list_(pa.int64())))
+
+    left = rows.mapInArrow(sketched, "text string, toxic int, sketches array<long>")
+    for at in range(SKETCHES):
+        left = left.groupBy(F.get("sketches", F.lit(at))).agg(F.min(F.struct("text", "toxic", "sketches")).alias("row")).select("row.*")
+    return left.select("text", "toxic")
+
+
+def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_label: tuple[int, int]) -> DataFrame:
+    """(text, toxic) of labelled documents for which learn holds: texts that differ, both labels."""
+    marked = labels.filter(F.col("toxic").isin(0, 1)).select(F.col("doc_id").alias("_id"), "toxic").distinct()
     marked = marked.groupBy("_id").agg(F.max("toxic").alias("toxic"))
     sizes = {row["toxic"]: row["count"] for row in marked.groupBy("toxic").count().limit(10).collect()}
     if not sizes:
         return docs.select("text", F.lit(0).alias("toxic")).limit(0)
-    share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, per_label / n)))
+    share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, per_label[k] / n)))
     draw = F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) / (1 << 20)
     chosen = marked.filter(draw < share[F.col("toxic")])
-    return (
-        docs.filter(learn & F.col("text").isNotNull())
-        .select("doc_id", "text")
-        .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-        .groupBy("text")
-        .agg(F.max("toxic").cast("int").alias("toxic"))
-    )
+    texts = docs.filter(learn & F.col("text").isNotNull()).select("doc_id", "text")
+    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    return without_near_copies(found.select("text", F.col("toxic").cast("int").alias("toxic")))
 
 
 def learn_insults(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
@@ -230,7 +248,7 @@ def learn_insults(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     return {row["feature"]: row["weight"] for row in best.collect()}
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = PER_LABEL) -> Grammar | None:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: tuple[int, int] = PER_LABEL) -> Grammar | None:
     """Learn lexicon and layer from labelled documents for which learn holds."""
     rows = sample(docs, labels, learn, per_label).cache()
     try:
