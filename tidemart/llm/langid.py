@@ -30,7 +30,8 @@ BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (3, 4)
 DIMENSION = 16
-EPOCHS = 12
+#: Passes over the sample, and steps that a small sample gets at least.
+EPOCHS, STEPS = 12, 1500
 RATE = 2.0
 BATCH = 16
 
@@ -136,6 +137,10 @@ class Model:
         return best, p[np.arange(len(p)), best]
 
 
+def lettered(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
     e = np.exp(x - x.max(1, keepdims=True))
     return e / e.sum(1, keepdims=True)
@@ -155,8 +160,9 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
     embedding = rng.normal(0, 0.1, (BUCKETS, DIMENSION)).astype("f4")
     layer = rng.normal(0, 0.1, (DIMENSION, len(languages))).astype("f4")
     bias = np.zeros(len(languages), "f4")
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-STEPS * BATCH // max(1, len(used))))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         for at in range(0, len(used), BATCH):
             chosen = used[at : at + BATCH]
             means = np.stack([w @ embedding[b] for b, w in (weight[i] for i in chosen)])
@@ -168,7 +174,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
             bias -= 0.1 * rate * error.sum(0)
             for i, gradient in zip(chosen, back, strict=True):
                 b, w = weight[i]
-                embedding[b] -= (rate * 20) * w[:, None] * gradient
+                embedding[b] -= np.minimum(20 * rate * w, 1)[:, None] * gradient
     model = Model(languages, np.ascontiguousarray((embedding @ layer).T), bias, 1.0, REJECT)
     if not len(kept_out):
         return model
@@ -218,11 +224,12 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            answered = np.asarray(batch.column(2).to_pylist(), bool) & (model is not None)
+            texts = batch.column(1).to_pylist()
+            answered = np.array([model is not None and lettered(text) for text in texts], bool)
             names, scores = np.full(batch.num_rows, "und", object), np.zeros(batch.num_rows)
             rejected = np.ones(batch.num_rows, bool)
             if answered.any():
-                best, p = model.predict(batch.column(1).filter(pa.array(answered)).to_pylist())
+                best, p = model.predict([text for text, yes in zip(texts, answered, strict=True) if yes])
                 names[answered] = np.array(model.languages, object)[best]
                 scores[answered] = p
                 rejected[answered] = p < model.reject_below
@@ -231,21 +238,22 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
                 names=["doc_id", "lang_pred", "score", "rejected"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text", has_letter(F.col("text")).alias("letter")).mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, lang_pred string, score double, rejected boolean"
     )
 
 
 def keep_identified(docs: DataFrame, model: Model | None) -> DataFrame:
     """The documents whose language is not rejected; all columns stay."""
-    names = docs.columns
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = np.asarray(batch.column(batch.num_columns - 1).to_pylist(), bool) & (model is not None)
+            texts = batch.column(at).to_pylist()
+            kept = np.array([model is not None and lettered(text) for text in texts], bool)
             if kept.any():
-                _, p = model.predict(batch.column(names.index("text")).filter(pa.array(kept)).to_pylist())
+                _, p = model.predict([text for text, yes in zip(texts, kept, strict=True) if yes])
                 kept[kept] = p >= model.reject_below
-            yield batch.select(range(len(names))).filter(pa.array(kept))
+            yield batch.filter(pa.array(kept))
 
-    return docs.select(*names, has_letter(F.col("text")).alias("_letter")).mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

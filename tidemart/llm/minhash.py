@@ -38,7 +38,7 @@ ROWS = 5
 BANDS = {85: 24, 80: 36}
 
 #: Centres of one bucket in a round after the first.
-CENTRES = 8
+CENTRES = 64
 
 #: Node ids (8 bytes) that may be broadcast to pick the texts of candidates.
 BROADCAST_NODES = 500_000
@@ -141,25 +141,39 @@ def signatures(docs: DataFrame, percent: int, rows: int = ROWS, width: int = SHI
     )
 
 
-def stars(buckets: DataFrame, centres: int) -> tuple[DataFrame, DataFrame]:
-    """Edges (a, b) from centres to members of other components; and the centres by bucket.
+def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (bucket, node) of the buckets that hold several components.
 
-    A centre is the smallest node of each of so many slots of a bucket.
+    Adds the component, and how many nodes of the bucket belong to it.
     """
-    slot = F.pmod(F.col("node"), F.lit(centres))
-    chosen = buckets.groupBy("bucket", slot.alias("slot")).agg(F.min("node").alias("centre"))
-    chosen = staged(chosen.select("bucket", "centre"), "near-centres")
-    theirs = chosen.join(
-        buckets.select("bucket", F.col("node").alias("centre"), F.col("component").alias("centre_component")),
-        ["bucket", "centre"],
+    named = members.join(labels.withColumnRenamed("component", "_label"), "node", "left").select(
+        "bucket", "node", F.coalesce("_label", "node").alias("component")
     )
-    edges = (
-        buckets.join(theirs, "bucket")
+    sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    several = sizes.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    return named.join(sizes.join(several, "bucket", "left_semi"), ["bucket", "component"])
+
+
+def centres_of(members: DataFrame, slots: int = CENTRES) -> DataFrame:
+    """Centres of each bucket: the node of the smallest component in each of so many slots.
+
+    A stray node beside a large component is a centre first, and one round settles it.
+    """
+    slot = F.pmod(F.xxhash64("node"), F.lit(slots))
+    least = F.min(F.struct("size", "node", "component")).alias("least")
+    return members.groupBy("bucket", slot.alias("slot")).agg(least).select(
+        "bucket", F.col("least.node").alias("centre"), F.col("least.component").alias("centre_component")
+    )
+
+
+def stars(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """Edges (a, b) from centres to the members of other components."""
+    return (
+        members.join(centres, "bucket")
         .filter("component <> centre_component")
         .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
         .distinct()
     )
-    return edges, chosen
 
 
 def first_stars(buckets: DataFrame) -> DataFrame:
@@ -267,50 +281,34 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_links(docs: DataFrame, nodes: DataFrame, percent: int, width: int = SHINGLE) -> DataFrame:
     """Components of nodes: node, component for every node with a confirmed link."""
-    spark = docs.sparkSession
+
+    def load(wanted: DataFrame) -> DataFrame:
+        chosen = staged(nodes.select("node", "first", "set_key").join(wanted, "node", "left_semi"), "near-candidates")
+        return staged(sets_of(docs, chosen, width), "near-sets")
+
     buckets = staged(
         nodes.filter("bands is not null").select("node", F.explode("bands").alias("bucket")), "near-buckets"
     )
-    candidates = staged(first_stars(buckets), "near-edges")
-    known = spark.createDataFrame([], "node long, size long, shingles binary")
-    links = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, component long")
-    tested, open_buckets = candidates, None
-    while not candidates.isEmpty():
-        ends = candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        missing = staged(
-            ends.join(known.select("node"), "node", "left_anti").join(nodes.select("node", "first", "set_key"), "node"),
-            "near-candidates",
-        )
-        known = known.unionByName(staged(sets_of(docs, missing, width), "near-sets"))
-        found = staged(confirmed(candidates, known, percent), "near-confirmed")
+    tested = staged(first_stars(buckets), "near-edges")
+    sets = load(tested.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    links = staged(confirmed(tested, sets, percent), "near-confirmed")
+    labels = components(links)
+    members = staged(unresolved(buckets, labels), "near-open")
+    if not members.isEmpty():
+        strangers = members.select("node").distinct().join(sets.select("node"), "node", "left_anti")
+        sets = sets.unionByName(load(strangers))
+    while not members.isEmpty():
+        centres = staged(centres_of(members), "near-centres")
+        edges = staged(stars(members, centres).join(tested, ["a", "b"], "left_anti"), "near-edges")
+        tested = tested.unionByName(edges)
+        found = staged(confirmed(edges, sets, percent), "near-confirmed")
+        # A centre has met every member of other components and need not come again.
+        used = centres.select("bucket", F.col("centre").alias("node"))
+        rest = members.select("bucket", "node").join(used, ["bucket", "node"], "left_anti")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
-        members = buckets if open_buckets is None else open_buckets
-        members = (
-            members.select("node", "bucket")
-            .join(labels.withColumnRenamed("component", "_label"), "node", "left")
-            .select("node", "bucket", F.coalesce("_label", "node").alias("component"))
-        )
-        mixed_buckets = (
-            members.groupBy("bucket")
-            .agg(F.min("component").alias("least"), F.max("component").alias("most"))
-            .filter("least < most")
-            .select("bucket")
-        )
-        open_buckets = staged(members.join(mixed_buckets, "bucket", "left_semi"), "near-open")
-        edges, centres = stars(open_buckets, CENTRES)
-        candidates = staged(edges.join(tested, ["a", "b"], "left_anti"), "near-edges")
-        tested = tested.unionByName(candidates)
-        used = centres.withColumnRenamed("centre", "node")
-        open_buckets = staged(open_buckets.join(used, ["bucket", "node"], "left_anti"), "near-open")
-        while candidates.isEmpty() and not open_buckets.isEmpty():
-            edges, centres = stars(open_buckets, CENTRES)
-            candidates = staged(edges.join(tested, ["a", "b"], "left_anti"), "near-edges")
-            tested = tested.unionByName(candidates)
-            used = centres.withColumnRenamed("centre", "node")
-            open_buckets = staged(open_buckets.join(used, ["bucket", "node"], "left_anti"), "near-open")
+        members = staged(unresolved(rest, labels), "near-open")
     return labels
 
 
