@@ -80,6 +80,17 @@ def test_daily_revenue_adds_up(shop):
     assert april.net_revenue is None and april.cancellation_rate_pct == 100.0
 
 
+def test_an_order_stored_twice_counts_once(shop):
+    facts, users = shop
+    twice = facts.unionByName(facts.filter("order_id = 4"))
+    dim = customers.dim_customers(users, facts, AS_OF)
+    daily = orders.agg_daily_revenue(orders.fct_orders(twice, dim))
+    assert daily.agg(F.sum("total_orders")).first()[0] == 7
+    assert daily.agg(F.sum("gross_revenue")).first()[0] == twice.agg(F.sum("total_amount")).first()[0]
+    raw = {r.user_id: r.frequency for r in rfm.rfm_raw(twice, AS_OF).collect()}
+    assert raw == {r.user_id: r.frequency for r in rfm.rfm_raw(facts, AS_OF).collect()}
+
+
 def test_rfm_null_order(shop):
     facts, _ = shop
     zero = {r.user_id: r for r in rfm.agg_rfm_scores(facts, AS_OF).collect()}

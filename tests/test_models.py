@@ -41,7 +41,9 @@ def test_churn_models(spark, features):
     assert best.auc == max(r.auc for r in metrics.values())
     forest = fitted["Random Forest"]
     weights = models.importances(forest, churn.FEATURES, spark)
-    assert weights.orderBy(F.desc("importance")).first().feature == "days_since_last_order"
+    ranked = weights.orderBy("place").collect()
+    assert ranked[0].feature == "days_since_last_order" and [r.place for r in ranked] == list(range(1, 13))
+    assert [r.importance for r in ranked] == sorted((r.importance for r in ranked), reverse=True)
     scored = forest.transform(test)
     points = models.roc_points(scored).orderBy(F.desc("score")).collect()
     assert points[-1].tpr == 1.0 and points[-1].fpr == 1.0
@@ -56,7 +58,11 @@ def test_churn_models(spark, features):
     path = fresh_dir(spark, "t-runs")
     models.log_run(spark, path, "Random Forest", {"trees": 100}, {"auc": metrics["Random Forest"].auc}, forest)
     models.log_run(spark, path, "Old", {}, {"auc": 0.1})
+    models.log_run(spark, path, "Random Forest", {"trees": 100}, {"auc": 0.2}, forest)
     assert models.best_run(spark, path).collect()[0].model == "Random Forest"
+    runs = {r.run_id for r in spark.read.parquet(f"{path}/runs").filter("model = 'Random Forest'").collect()}
+    kept = {r.path.rsplit("/", 3)[-3] for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(f"{path}/models/*/metadata").select("path").collect()}
+    assert len(runs) == 2 and kept == runs
 
 
 def test_too_few_rows(features):

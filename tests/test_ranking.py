@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window as W
@@ -79,3 +80,20 @@ def test_several_tiles_in_one_sort(spark, n):
         "tb", F.ntile(5).over(W.orderBy(F.asc_nulls_last("b"), "key"))
     )
     assert sorted(map(str, ours.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_tiles_compare_values_as_they_are(spark):
+    rows = [(i, v, Decimal(i)) for i, v in enumerate([3e-5, 1e-5, 5e-5, 2e-5, 4e-5, None, float("inf")])]
+    df = spark.createDataFrame(rows, "id long, small double, whole decimal(10,0)")
+    tiled = with_global_ntiles(df, "id", {"a": F.col("small"), "b": F.col("whole")}, tiles=7)
+    got = {r.id: (r.a, r.b) for r in tiled.collect()}
+    assert [got[i][0] for i in range(7)] == [3, 1, 5, 2, 4, 7, 6]
+    assert [got[i][1] for i in range(7)] == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_a_tie_of_most_rows_is_one_row_of_the_sort(spark):
+    df = spark.range(40_000).select(F.when(F.col("id") < 36_000, 0).otherwise(F.col("id")).cast("double").alias("v"))
+    row = exact_quantiles(df, "v", {"p50": 0.5, "p89": 0.89, "p95": 0.95}).first()
+    values = sorted([0.0] * 36_000 + [float(i) for i in range(36_000, 40_000)])
+    for name, q in (("p50", 0.5), ("p89", 0.89), ("p95", 0.95)):
+        assert row[name] == pytest.approx(_quantile(values, q))

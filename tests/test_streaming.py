@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import time
 
 
 from tidemart import schemas
@@ -76,9 +77,17 @@ def test_dedupe_across_batches_and_late_rows(spark):
         [_event(9, 1, 60)],      # two hours behind the newest event: too late
         [_event(4, 1, 7300)],
     ]
+    late = stateful.LateRows()
+    spark.streams.addListener(late)
     query, out = _run(spark, stateful.dedupe(_stream(spark, parts), "event_id", "timestamp", "10 minutes"))
     assert sorted(r.event_id for r in out.collect()) == [1, 2, 3, 4, 5]
     assert stateful.dropped_late_rows(query) == 1
+    for _ in range(50):
+        if late.dropped[str(query.id)]:
+            break
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
+    assert late.dropped[str(query.id)] == 1
 
 
 def test_streamed_sessions_equal_batch_sessions(spark):
@@ -100,14 +109,14 @@ def test_windowed_kpis(spark):
         [(4, 2, START + dt.timedelta(days=5), "delivered", D("1.00"))],
     ]
     _, out = _run(spark, stateful.order_kpis(_stream(spark, parts, schema), "1 day", "1 hour"))
-    got = {r.window_start.day: (r.orders, r.gross_revenue, r.net_revenue, r.approx_customers) for r in out.collect()}
+    got = {r.window_start.day: (r.orders, r.gross_revenue, r.net_revenue, r.customers) for r in out.collect()}
     assert got[1] == (2, D("7.00"), D("5.00"), 1) and got[2][0] == 1
 
 
 def test_sliding_users(spark):
     parts = [[_event(1, 1, 0), _event(2, 2, 1000)], [_event(3, 3, 50_000)]]
     _, out = _run(spark, stateful.active_users(_stream(spark, parts), "1 hour", "30 minutes", "1 hour"))
-    got = {r.window_start: (r.events, r.approx_users) for r in out.collect()}
+    got = {r.window_start: (r.events, r.users) for r in out.collect()}
     assert got[START] == (2, 2) and got[START - dt.timedelta(minutes=30)] == (2, 2)
 
 

@@ -11,15 +11,20 @@ from tidemart.functions.numeric import safe_pct
 def agg_funnel(sessions: DataFrame) -> DataFrame:
     """Sessions per step and step-to-step rates by day.
 
-    session_id is unique in the session table (checked by the quality rules), so
-    distinct sessions are counted with conditional counts in one pass.
+    Rows are reduced to one per (day, session) first, map-side, so a session that is
+    stored twice counts once and the distinct counts need no Expand.
     """
-    daily = sessions.groupBy("session_date").agg(
+    steps = ("page_views", "products_viewed", "add_to_cart_count")
+    unique = sessions.groupBy("session_date", "session_id").agg(
+        *[F.max(F.col(c) > 0).alias(c) for c in steps], F.max("converted").alias("converted")
+    )
+    known = F.col("session_id").isNotNull()
+    daily = unique.groupBy("session_date").agg(
         F.count("session_id").alias("total_sessions"),
-        F.count_if(F.col("page_views") > 0).alias("page_view_sessions"),
-        F.count_if(F.col("products_viewed") > 0).alias("product_view_sessions"),
-        F.count_if(F.col("add_to_cart_count") > 0).alias("add_to_cart_sessions"),
-        F.count_if("converted").alias("converted_sessions"),
+        F.count_if(known & F.col("page_views")).alias("page_view_sessions"),
+        F.count_if(known & F.col("products_viewed")).alias("product_view_sessions"),
+        F.count_if(known & F.col("add_to_cart_count")).alias("add_to_cart_sessions"),
+        F.count_if(known & F.col("converted")).alias("converted_sessions"),
     )
     return daily.select(
         "*",

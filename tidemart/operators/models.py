@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -28,6 +29,9 @@ SEED = 42
 TEST_SHARE = 0.2
 # Model settings and the minimum rows to train on.
 CHURN_TREES, CHURN_DEPTH, CHURN_RATE = 100, 5, 0.1
+# Depth limit of the forest's trees.  The model sets none; a distributed forest grows its
+# trees level by level and keeps all nodes of a level in memory, so it needs one.
+FOREST_DEPTH = 12
 DEMAND_TREES, DEMAND_DEPTH, DEMAND_RATE = 100, 4, 0.05
 LOGISTIC_ITERATIONS = 500
 CHURN_MIN_ROWS = 50
@@ -83,7 +87,9 @@ def detached(model: PipelineModel) -> PipelineModel:
 def churn_estimators() -> dict[str, object]:
     return {
         "Logistic Regression": LogisticRegression(maxIter=LOGISTIC_ITERATIONS),
-        "Random Forest": RandomForestClassifier(numTrees=CHURN_TREES, seed=SEED),
+        "Random Forest": RandomForestClassifier(
+            numTrees=CHURN_TREES, maxDepth=FOREST_DEPTH, seed=SEED
+        ),
         "Gradient Boosting": GBTClassifier(
             maxIter=CHURN_TREES, maxDepth=CHURN_DEPTH, stepSize=CHURN_RATE, seed=SEED
         ),
@@ -161,10 +167,11 @@ def confusion(scored: DataFrame) -> DataFrame:
 
 
 def importances(model: PipelineModel, columns: Sequence[str], spark: SparkSession) -> DataFrame:
-    """Feature importance, one row per feature column."""
+    """Feature importance, one row per feature column, the most important one first."""
     weights = model.stages[-1].featureImportances.toArray()
+    rows = sorted(((c, float(w)) for c, w in zip(columns, weights)), key=lambda x: (-x[1], x[0]))
     return spark.createDataFrame(
-        [(c, float(w)) for c, w in zip(columns, weights)], "feature string, importance double"
+        [(place + 1, *row) for place, row in enumerate(rows)], "place int, feature string, importance double"
     )
 
 
@@ -273,19 +280,21 @@ def actual_and_predicted(
 def log_run(
     spark: SparkSession, path: str, name: str, params: dict, metrics: dict, model: PipelineModel | None = None
 ) -> None:
-    """Append one run row to the run table, and save the model next to it."""
+    """Append one run row to the run table, and save the model under the run's id."""
+    run = uuid.uuid4().hex
     row = [
         (
+            run,
             name,
             {k: str(v) for k, v in params.items()},
             {k: float(v) for k, v in metrics.items()},
         )
     ]
-    schema = "model string, params map<string,string>, metrics map<string,double>"
+    schema = "run_id string, model string, params map<string,string>, metrics map<string,double>"
     runs = spark.createDataFrame(row, schema).withColumn("logged_at", F.current_timestamp())
     runs.coalesce(1).write.mode("append").parquet(f"{path}/runs")
     if model is not None:
-        model.write().overwrite().save(f"{path}/models/{name.replace(' ', '_')}")
+        model.write().save(f"{path}/models/{run}")
 
 
 def best_run(spark: SparkSession, path: str, metric: str = "auc") -> DataFrame:

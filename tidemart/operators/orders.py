@@ -42,13 +42,13 @@ def fct_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def agg_daily_revenue(facts: DataFrame) -> DataFrame:
     """Revenue KPIs per day and category.
 
-    Users are made unique by a first aggregation per (day, category, user), so
-    the distinct counts become plain counts: no Expand of the fact rows, and a
-    busy day or user is reduced map-side.  order_id is the fact's key (checked
-    by the quality rules), so orders need no distinct count.
+    Rows are reduced to one per (day, category, user, order) and then to one per
+    (day, category, user), so the distinct orders and users become plain counts: no
+    Expand of the fact rows, a busy day or user is reduced map-side, and an order
+    that is stored twice counts once.
     """
-    per_user = facts.groupBy("order_date", "primary_category", "user_id").agg(
-        F.count("order_id").alias("orders"),
+    days = ("order_date", "primary_category")
+    per_order = facts.groupBy(*days, "user_id", "order_id").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count("total_amount").alias("priced"),
         F.max("is_first_order").alias("is_new"),
@@ -56,7 +56,12 @@ def agg_daily_revenue(facts: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("status") == "delivered", F.col("total_amount"))).alias("net"),
         F.count_if(F.col("status") == "cancelled").alias("cancelled"),
     )
-    return per_user.groupBy("order_date", "primary_category").agg(
+    per_user = per_order.groupBy(*days, "user_id").agg(
+        F.count("order_id").alias("orders"),
+        F.max("is_new").alias("is_new"),
+        *[F.sum(c).alias(c) for c in ("rows", "priced", "gross", "net", "cancelled")],
+    )
+    return per_user.groupBy(*days).agg(
         F.sum("orders").alias("total_orders"),
         F.count("user_id").alias("unique_customers"),
         F.count(F.when(F.col("is_new"), F.col("user_id"))).alias("new_customers"),

@@ -81,25 +81,27 @@ def with_global_ntiles(
 ) -> DataFrame:
     """Add several tile columns to a frame with one row per key, in one global sort.
 
-    ``measures`` maps output names to numeric values, smallest first; nulls come
-    last and ties are ordered by the key.  Each row is repeated once per measure,
-    all repetitions are sorted together by (measure, value, key), and the tiles
-    are brought back to the key.  A measure owns exactly one n-th of the sorted
-    rows, so its own ranks need no second count.
+    ``measures`` maps output names to values, smallest first; nulls come last and
+    ties are ordered by the key.  Each row is repeated once per measure, all
+    repetitions are sorted together by (measure, value, key), and the tiles are
+    brought back to the key.  Every measure has a sort column of its own type, null
+    in the rows of the others, so values are compared as they are.  A measure owns
+    exactly one n-th of the sorted rows, so its own ranks need no second count.
     """
     names = list(measures)
     rest = [c for c in df.columns if c != key]
-    points = [
-        F.struct(F.lit(i).alias("slot"), measures[n].cast("decimal(30,4)").alias("value"))
-        for i, n in enumerate(names)
-    ]
-    long = df.select(key, *rest, F.explode(F.array(*points)).alias("__p")).select(
+    values = [f"__value{i}" for i in range(len(names))]
+    keyed = df.select(
+        key, *rest, *[measures[n].alias(v) for n, v in zip(names, values)],
+        F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("__slot_no"),
+    )
+    long = keyed.select(
         key,
-        F.col("__p.slot").alias("__slot_no"),
-        F.col("__p.value").alias("__value"),
-        *[F.when(F.col("__p.slot") == 0, F.col(c)).alias(c) for c in rest],
+        "__slot_no",
+        *[F.when(F.col("__slot_no") == i, F.col(v)).alias(v) for i, v in enumerate(values)],
+        *[F.when(F.col("__slot_no") == 0, F.col(c)).alias(c) for c in rest],
     )
-    order = [F.col("__slot_no"), F.asc_nulls_last("__value"), F.col(key)]
+    order = [F.col("__slot_no"), *[F.asc_nulls_last(v) for v in values], F.col(key)]
     ranked = with_global_rank(long, order, "__rank", "__all")
     rows = (F.col("__all") / len(names)).cast("bigint")
     tile = tile_of_rank(F.col("__rank") - F.col("__slot_no") * rows, rows, tiles)
@@ -138,23 +140,31 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linearly interpolated quantiles per group, one output row per group.
 
-    Ranks come from one global sort by (group, value); a group's own ranks start
-    after the rows of the groups before it.  The group table is a class table
-    (labels, features), so it stays small; the measured values do not.
+    Rows are counted per (group, value) first, so a value that most rows share is one
+    row of the global sort; running counts then give the ranks that each value covers.
+    The group table is a class table (labels, features), so it stays small; the measured
+    values do not.
     """
     by = list(by)
-    rows = df.select(*by, F.col(value).alias("__v")).filter(F.col("__v").isNotNull())
-    ranked = with_global_rank(rows, [F.col(c) for c in [*by, "__v"]], "__rank", "__rows")
-    bounds = ranked.groupBy(*by).agg(
-        F.min("__rank").alias("__first"), F.count(F.lit(1)).alias("__n")
+    counts = (
+        df.select(*by, F.col(value).alias("__v"))
+        .filter(F.col("__v").isNotNull())
+        .groupBy(*by, "__v")
+        .agg(F.count(F.lit(1)).alias("__copies"))
+    )
+    running = with_running_sums(counts, [F.col(c) for c in [*by, "__v"]], {"__through": "__copies"})
+    bounds = running.groupBy(*by).agg(
+        F.min(F.col("__through") - F.col("__copies")).alias("__before"), F.sum("__copies").alias("__n")
     )
-    joined = join_small_classes(ranked, bounds, by)
-    position = F.col("__rank") - F.col("__first")
+    joined = join_small_classes(running, bounds, by)
+    last = F.col("__through") - F.col("__before") - 1
+    first = last - F.col("__copies") + 1
+    number = F.col("__v").cast("double")
     aggregates = []
     for name, q in quantiles.items():
         spot = F.lit(q) * (F.col("__n") - 1)
-        low = F.max(F.when(position == F.floor(spot), F.col("__v").cast("double")))
-        high = F.max(F.when(position == F.ceil(spot), F.col("__v").cast("double")))
+        low = F.max(F.when(F.floor(spot).between(first, last), number))
+        high = F.max(F.when(F.ceil(spot).between(first, last), number))
         share = F.max(spot - F.floor(spot))
         aggregates.append((low + (high - low) * share).alias(name))
     return joined.groupBy(*by).agg(*aggregates)

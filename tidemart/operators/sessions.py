@@ -26,7 +26,7 @@ def _cell(timestamp: str, gap_seconds: int) -> Column:
 
 def _measures(timestamp: str) -> list[Column]:
     kind = F.col("event_type")
-    first_seen = F.struct(timestamp, "event_id", "device_type", "country")
+    first_seen = F.struct(timestamp, "event_id", "user_id", "device_type", "country")
     return [
         F.min(timestamp).alias("start_time"),
         F.max(timestamp).alias("end_time"),
@@ -40,10 +40,10 @@ def _measures(timestamp: str) -> list[Column]:
 
 
 def _finish(sessions: DataFrame) -> DataFrame:
-    """Session columns shared by both routes; device and country are the earliest event's."""
+    """Session columns shared by both routes; user, device and country are the earliest event's."""
     return sessions.select(
         "session_id",
-        "user_id",
+        F.col("first_event.user_id").alias("user_id"),
         "start_time",
         "end_time",
         (F.unix_timestamp("end_time") - F.unix_timestamp("start_time")).alias("duration_seconds"),
@@ -92,8 +92,8 @@ def assign_sessions(
 
 
 def sessionize(events: DataFrame, timestamp: str = "timestamp") -> DataFrame:
-    """One row per given session id (and user)."""
-    return _finish(events.groupBy("session_id", "user_id").agg(*_measures(timestamp)))
+    """One row per given session id, whoever its events name."""
+    return _finish(events.groupBy("session_id").agg(*_measures(timestamp)))
 
 
 def sessionize_by_gap(

@@ -412,6 +412,22 @@ select * exclude (rn) from (
     order by "timestamp" desc, user_id desc, order_date desc, total_amount desc, item_count desc,
              primary_category desc nulls last, payment_method desc, status desc, country desc, city desc) as rn
   from order_events) where rn = 1""")
+_query("order_events_nested", ("tx",), """
+select cast(order_id as varchar) as order_id, cast(user_id as varchar) as user_id,
+       order_timestamp as "timestamp", total_amount, item_count, primary_category from tx""")
+_query("silver_sessions_unique", ("ev",), """
+select 'S' || (event_id % 500) as session_id, arg_min(user_id, ("timestamp", event_id)) as user_id,
+       min("timestamp") as start_time, max("timestamp") as end_time,
+       epoch_us(max("timestamp")) // 1000000 - epoch_us(min("timestamp")) // 1000000 as duration_seconds,
+       count(*) as page_views,
+       count(*) filter (where event_type = 'product_view') as products_viewed,
+       count(*) filter (where event_type = 'add_to_cart') as add_to_cart_count,
+       count(*) filter (where event_type = 'checkout_complete') > 0 as converted,
+       arg_min(device_type, ("timestamp", event_id)) as device_type,
+       arg_min(country, ("timestamp", event_id)) as country,
+       count(*) filter (where event_type = 'checkout_start') as checkout_initiated,
+       count(*) filter (where event_type = 'checkout_complete') as purchased
+from ev group by 1""")
 _query("order_status_from_event", ("heads",), """
 select 'order_' || status as event_type, status, count(*) as orders from heads group by status""")
 _query("product_labels", (), """
@@ -536,12 +552,12 @@ select primary_category as metric, count(*) as "value" from tx where order_date
 group by primary_category order by 2 desc, 1 nulls last limit 8""")
 _query("kpi_latest_order_day", ("heads",), """
 select max(order_date) as latest_order_date, max(order_date) is not null as is_ready from heads""")
-_query("table_row_counts", ("fct_orders", "daily_revenue", "rfm", "stg_sessions"), """
-select 'dim_customers' as table_name, count(*) as row_count from customer
+_query("table_row_counts", ("fct_orders", "rfm", "sessions"), """
+select 'transactions' as table_name, count(*) as row_count from orders
+union all select 'sessions', count(*) from sessions
 union all select 'fct_orders', count(*) from fct_orders
-union all select 'agg_daily_revenue', count(*) from daily_revenue
-union all select 'agg_rfm_scores', count(*) from rfm
-union all select 'agg_funnel', count(distinct session_date) from stg_sessions""")
+union all select 'dim_customers', count(*) from customer
+union all select 'agg_rfm_scores', count(*) from rfm""")
 
 # --- data quality ------------------------------------------------------------------------
 
@@ -617,14 +633,16 @@ _query(
         ]
     ),
 )
-_query("dq_duplicate_orders", (), """
+_query("dq_duplicate_orders", ("heads",), """
+select order_id, count(*) as copies from heads group by order_id having count(*) > 1""")
+_query("dq_duplicate_events", (), """
 select l_orderkey as order_id, count(*) as copies from lineitem group by l_orderkey having count(*) > 1""")
 _query(
     "dq_minimum_rows",
-    ("daily", "dim_customers"),
+    ("daily", "churn"),
     "\nunion all\n".join(
         _check(f"min_rows:{n}", name, f"select greatest(0, {n} - count(*)) from {rel}")
-        for name, n, rel in (("churn", 50, "dim_customers"), ("demand", 30, "daily"), ("drift", 20, "dim_customers"))
+        for name, n, rel in (("churn", 50, "churn"), ("demand", 30, "daily"), ("drift", 20, "churn"))
     ),
 )
 BLOCKS["click_codes"] = ((), """
@@ -735,19 +753,26 @@ select count(*) as row_count, count(distinct strftime(order_date, '%Y-%m')) as d
 from heads""")
 BLOCKS["halves"] = (("churn",), """
 select *, row_number() over (order by user_id) > (select count(*) from churn) // 2 as is_current from churn""")
+DRIFT_COLUMNS = ("days_since_last_order", "total_orders", "rfm_total")
+FRAME_COLUMNS = (
+    "days_since_last_order", "total_orders", "total_revenue", "avg_order_value", "cancellation_rate",
+    "r_score", "f_score", "m_score", "rfm_total", "avg_session_duration", "avg_products_viewed",
+    "total_sessions_30d", "label",
+)
 BLOCKS["ks_values"] = (("halves",), "\nunion all\n".join(
-    f"select '{c}' as \"column\", is_current, cast({c} as double) as v from halves"
-    for c in ("days_since_last_order", "total_orders", "rfm_total")
+    f"select '{c}' as \"column\", is_current, cast({'cast(label as integer)' if c == 'label' else c} as double) as v"
+    " from halves"
+    for c in FRAME_COLUMNS
 ))
 _SERIES = " + ".join(f"({2.0 * (-1) ** (k - 1)}) * exp(-{2.0 * k * k} * x * x)" for k in range(1, 21))
 BLOCKS["ks"] = (("ks_values",), f"""
 with sizes as (
   select "column", count(*) filter (where not is_current) as n_ref,
-         count(*) filter (where is_current) as n_cur from ks_values group by "column"),
+         count(*) filter (where is_current) as n_cur from ks_values where v is not null group by "column"),
 cdf as (
   select "column", v, sum(count(*) filter (where not is_current)) over w as r,
          sum(count(*) filter (where is_current)) over w as c
-  from ks_values group by "column", v window w as (partition by "column" order by v)),
+  from ks_values where v is not null group by "column", v window w as (partition by "column" order by v)),
 dist as (
   select "column", n_ref, n_cur, max(abs(cast(r as double) / n_ref - cast(c as double) / n_cur)) as d
   from cdf join sizes using ("column") group by "column", n_ref, n_cur),
@@ -755,7 +780,7 @@ xs as (select *, sqrt(cast(n_ref as double) * n_cur / (n_ref + n_cur)) * d as x
 select *, case when x < 0.2 then 1.0 else least(greatest({_SERIES}, 0.0), 1.0) end as p from xs""")
 _query("drift_ks", ("ks",), f"""
 select "column", n_ref, n_cur, {_round('d', 8)} as ks_statistic, {_round('p', 6)} as p_value,
-       p < 0.05 as drifted from ks""")
+       p < 0.05 as drifted from ks where "column" in {DRIFT_COLUMNS}""")
 _query("drift_dataset", ("ks",), f"""
 select {_round('cast(count(*) filter (where p < 0.05) as double) / count(*)', 4)} as drift_share,
        cast(count(*) filter (where p < 0.05) as double) / count(*) >= 0.5 as drift_detected from ks""")
@@ -855,6 +880,10 @@ d as (select *, cast(subtotal - discount_amount + tax_amount as decimal(18,2)) a
 select order_id, subtotal, discount_amount, tax_amount, total_amount, stated_total,
        abs(total_amount - stated_total) > 0.01 as mismatch from d""")
 
+ORACLE["order_pricing_from_items"] = ORACLE["order_pricing_check"].replace(
+    "select order_id, subtotal", "select cast(order_id as varchar) as order_id, subtotal"
+)
+
 # --- models --------------------------------------------------------------------------------
 
 _query("rfm_standardized", ("rfm",), "select user_id, " + ", ".join(
@@ -867,7 +896,7 @@ _query("rfm_standardized", ("rfm",), "select user_id, " + ", ".join(
 
 _query("stream_bronze_clickstream", (), """
 select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_id,
-       md5(cast(event_id as varchar)) as session_id, date_trunc('second', ts) as "timestamp",
+       md5(cast(event_id as varchar)) as session_id, ts as "timestamp",
        case event_type when 'view' then 'product_view' when 'click' then 'add_to_cart'
          when 'purchase' then 'checkout_complete' else event_type end as event_type,
        'https://shop.example/toys/' || json_extract_string(props, '$.k') as page_url,
@@ -886,21 +915,20 @@ _query("stream_unique_append", ("ev",), _UNIQUE_EVENTS)
 _query("stream_sessions", ("sessions",), """
 select session_id, user_id, start_time, end_time, duration_seconds, page_views, products_viewed,
        add_to_cart_count, converted
-from sessions
-where end_time + interval 6 hour <= (select date_trunc('millisecond', max(ts)) from events) - interval 1 hour""")
+from sessions""")
 _query("stream_order_kpis", ("heads",), """
 select cast(order_date as timestamp) as window_start, cast(order_date + 1 as timestamp) as window_end,
        count(*) as orders, cast(sum(total_amount) as decimal(22,2)) as gross_revenue,
-       cast(sum(total_amount) filter (where status = 'delivered') as decimal(22,2)) as net_revenue
-from heads group by order_date
-having cast(order_date + 1 as timestamp) <= (select max(o_orderdate) from orders) - interval 1 day""")
+       cast(sum(total_amount) filter (where status = 'delivered') as decimal(22,2)) as net_revenue,
+       count(distinct user_id) as customers
+from heads group by order_date""")
 _query("stream_active_users", (), """
 with spans as (
-  select time_bucket(interval 15 minute, ts) - i * interval 15 minute as window_start
+  select time_bucket(interval 15 minute, ts) - i * interval 15 minute as window_start, user_id
   from events, range(0, 4) t(i))
-select window_start, window_start + interval 1 hour as window_end, count(*) as events
-from spans group by window_start
-having window_start + interval 1 hour <= (select date_trunc('millisecond', max(ts)) from events) - interval 1 hour""")
-_query("stream_latest_stock", ("moves",), """
-select product_id, warehouse_id, arg_max(quantity_change, rn) as quantity_change, max("timestamp") as as_of
-from moves group by product_id, warehouse_id""")
+select window_start, window_start + interval 1 hour as window_end, count(*) as events,
+       count(distinct user_id) as users
+from spans group by window_start""")
+_query("stream_latest_stock", ("walk",), """
+select product_id, warehouse_id, arg_max(quantity_after, rn) as quantity_after, max("timestamp") as as_of
+from walk group by product_id, warehouse_id""")

@@ -25,6 +25,8 @@ from tidemart import schemas
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 AVAILABLE_NOW = {"availableNow": True}
+# Wire format of event times; microseconds, as the tables hold them.
+EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
 class Shop:
@@ -240,7 +242,7 @@ def order_event_json(s: Shop) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         F.concat(F.lit("order_"), status).alias("event_type"),
-        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        F.date_format(moment, EVENT_TIME_FORMAT).alias("timestamp"),
         F.when(has_line, F.array(item)).otherwise(F.array().cast("array<struct<product_id:string,product_name:string,category:string,quantity:int,unit_price:decimal(12,2),discount_pct:decimal(4,2)>>")).alias("items"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
         supplied.recode("o_orderpriority", supplied.PAYMENTS).alias("payment_method"),
@@ -266,6 +268,62 @@ def silver_transactions_latest(s: Shop) -> DataFrame:
     return staging.silver_transactions(bronze)
 
 
+def nested_order_json(s: Shop) -> DataFrame:
+    """One JSON order event per order, with all its lines as nested items.
+
+    An order has a bounded number of lines, so its items fit a row.
+    """
+    t = s.tables
+    part = t.part.select("p_partkey", F.col("p_type").alias("category"))
+    item = F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+        F.col("l_partkey").cast("string").alias("product_id"),
+        "category",
+        F.lit(1).alias("quantity"),
+        F.col("l_extendedprice").cast("decimal(12,2)").alias("unit_price"),
+        F.col("l_discount").cast("decimal(4,2)").alias("discount_pct"),
+    )
+    lines = (
+        t.lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .groupBy("l_orderkey")
+        .agg(F.sort_array(F.collect_list(item)).alias("items"))
+    )
+    wire = F.transform("items", lambda x: F.struct(*[x[c] for c in ("product_id", "category", "quantity", "unit_price", "discount_pct")]))
+    event = F.struct(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("user_id"),
+        F.lit("order_created").alias("event_type"),
+        F.date_format(F.col("o_orderdate").cast("timestamp"), EVENT_TIME_FORMAT).alias("timestamp"),
+        wire.alias("items"),
+        F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
+    )
+    orders_with_lines = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return orders_with_lines.select(
+        F.to_json(event).alias("value"), F.col("o_orderdate").cast("timestamp").alias("timestamp")
+    )
+
+
+@query
+def order_events_nested(s: Shop) -> DataFrame:
+    """Orders with several items: their number, and the first item's category."""
+    bronze = ingest.parse_and_enrich(nested_order_json(s), schemas.ORDERS)
+    return staging.flatten_orders(bronze).select(
+        "order_id", "user_id", "timestamp", "total_amount", "item_count", "primary_category"
+    )
+
+
+@query
+def order_pricing_from_items(s: Shop) -> DataFrame:
+    """Totals of the nested events, recomputed from their items."""
+    bronze = ingest.parse_and_enrich(nested_order_json(s), schemas.ORDERS)
+    heads = bronze.select(
+        "order_id",
+        F.when(F.col("order_id").cast("bigint") % 2 == 0, F.lit("SAVE10")).alias("coupon_code"),
+        F.col("total_amount").cast("decimal(12,2)").alias("stated_total"),
+    )
+    return pricing.price_orders(pricing.item_lines(bronze), heads)
+
+
 @query
 def order_status_from_event(s: Shop) -> DataFrame:
     kind = F.concat(F.lit("order_"), supplied.recode("o_orderstatus", supplied.ORDER_STATUS))
@@ -341,6 +399,13 @@ def sessions_by_id(s: Shop) -> DataFrame:
     return session_ops.sessionize(supplied.clickstream_with_sessions(s.tables))
 
 
+@query
+def silver_sessions_unique(s: Shop) -> DataFrame:
+    """Sessions by id where ids are shared: each spans several users and still is one row."""
+    shared = F.concat(F.lit("S"), F.col("event_id") % 500)
+    return session_ops.sessionize(s.clickstream.withColumn("session_id", shared))
+
+
 @query
 def agg_funnel(s: Shop) -> DataFrame:
     return funnel.agg_funnel(s.stg_sessions)
@@ -492,8 +557,10 @@ def kpi_latest_order_day(s: Shop) -> DataFrame:
 
 @query
 def table_row_counts(s: Shop) -> DataFrame:
-    names = ("dim_customers", "fct_orders", "agg_daily_revenue", "agg_rfm_scores", "agg_funnel")
-    return catalog.row_counts({n: s.gold[n] for n in names})
+    """The daily report: two silver and three gold tables."""
+    gold = {n: s.gold[n] for n in ("fct_orders", "dim_customers", "agg_rfm_scores")}
+    silver_tables = {"transactions": supplied.order_headers(s.tables), "sessions": s.sessions}
+    return catalog.row_counts({**silver_tables, **gold})
 
 
 # --- data quality ---------------------------------------------------------------------
@@ -526,14 +593,20 @@ def dq_gold_gate(s: Shop) -> DataFrame:
 
 @query
 def dq_duplicate_orders(s: Shop) -> DataFrame:
-    """Order ids that occur in more than one order event."""
+    """Order ids that occur more than once in the silver transactions."""
+    return quality.duplicate_keys(supplied.order_headers(s.tables), "order_id")
+
+
+@query
+def dq_duplicate_events(s: Shop) -> DataFrame:
+    """Order ids with more than one bronze order event, which the silver job has to reduce."""
     events = s.tables.lineitem.select(F.col("l_orderkey").alias("order_id"))
     return quality.duplicate_keys(events, "order_id")
 
 
 @query
 def dq_minimum_rows(s: Shop) -> DataFrame:
-    tables = {"churn": s.dim_customers, "demand": s.daily, "drift": s.dim_customers}
+    tables = {"churn": s.churn_features, "demand": s.daily, "drift": s.churn_features}
     return quality.check_minimum_rows(tables, quality.MODEL_MINIMUM_ROWS)
 
 
@@ -546,7 +619,7 @@ def click_event_json(s: Shop) -> DataFrame:
         F.col("event_id").cast("string").alias("event_id"),
         F.col("user_id").cast("string").alias("user_id"),
         F.md5(F.col("event_id").cast("string")).alias("session_id"),
-        F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        F.date_format(F.col("ts").cast("timestamp"), EVENT_TIME_FORMAT).alias("timestamp"),
         supplied.recode("event_type", mapped).alias("event_type"),
         product_url("https://shop.example", F.lit("Toys"), k).alias("page_url"),
         k.alias("product_id"),
@@ -581,7 +654,7 @@ def contract_violations_inventory(s: Shop) -> DataFrame:
         F.lit("item").alias("product_name"),
         F.lit("Toys").alias("category"),
         sku("product_id").alias("sku"),
-        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+        F.date_format("timestamp", EVENT_TIME_FORMAT).alias("timestamp"),
         F.when(F.col("quantity_change") > 0, "refund").otherwise("sale").alias("event_type"),
         "quantity_change",
         "quantity_before",
@@ -707,12 +780,16 @@ def dataset_profile(s: Shop) -> DataFrame:
 
 @query
 def drift_ks(s: Shop) -> DataFrame:
-    return drift.ks_by_column(drift.split_halves(s.feature_table, "user_id"))
+    rows = s.feature_table.select("user_id", *drift.DRIFT_COLUMNS)
+    return drift.ks_by_column(drift.split_halves(rows, "user_id"))
 
 
 @query
 def drift_dataset(s: Shop) -> DataFrame:
-    return drift.dataset_drift(drift.ks_by_column(drift.split_halves(s.feature_table, "user_id")))
+    """The share of drifted columns over the whole feature frame, label included."""
+    columns = (*churn.FEATURES, "label")
+    rows = s.feature_table.select("user_id", *[F.col(c).cast("double").alias(c) for c in columns])
+    return drift.dataset_drift(drift.ks_by_column(drift.split_halves(rows, "user_id"), columns))
 
 
 # --- demand ---------------------------------------------------------------------------
@@ -851,8 +928,7 @@ def churn_model_without_leak(s: Shop) -> DataFrame:
     """The best comparison row when the columns that restate the label are left out."""
     columns = [c for c in churn.FEATURES if c not in churn.LEAKING_FEATURES]
     train, test = models.prepare_churn(s.churn_features, columns)
-    names = ["Logistic Regression", "Random Forest"]
-    return models.best_model(models.compare_churn_models(train, test, columns, names)[0])
+    return models.best_model(models.compare_churn_models(train, test, columns)[0])
 
 
 @query
@@ -876,16 +952,15 @@ def churn_importances(s: Shop) -> DataFrame:
 @query
 def churn_model_scores(s: Shop) -> DataFrame:
     train, _ = models.prepare_churn(s.churn_features)
-    return models.score_churn(s.churn_features, models.fit_churn(train, "Random Forest"))
+    return models.score_churn(s.churn_features, models.fit_churn(train))
 
 
 @query
 def model_run_log(s: Shop) -> DataFrame:
-    """Two logged churn runs; the better one by AUC is promoted."""
+    """A logged run of each churn model; the best one by AUC is promoted."""
     path = fresh_dir(s.spark, "model-runs")
     train, test = models.prepare_churn(s.churn_features)
-    names = ["Logistic Regression", "Random Forest"]
-    _, fitted = models.compare_churn_models(train, test, names=names)
+    _, fitted = models.compare_churn_models(train, test)
     for name, model in fitted.items():
         auc, f1 = models.churn_metrics(model.transform(test))
         models.log_run(s.spark, path, name, {"seed": models.SEED}, {"auc": auc, "f1": f1}, model)
@@ -1007,36 +1082,45 @@ def stream_unique_append(s: Shop) -> DataFrame:
     return s.spark.read.parquet(f"{base}/table")
 
 
+def _closed(s: Shop, stream: DataFrame, timestamp: str) -> DataFrame:
+    """The stream followed by one far later row, which closes all windows before it."""
+    path = fresh_dir(s.spark, "flush")
+    later = F.lit("2999-01-01").cast("timestamp")
+    empty = [later.alias(f.name) if f.name == timestamp else F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema]
+    s.spark.range(1).select(*empty).write.parquet(path)
+    return stream.unionByName(ingest.file_stream(s.spark, path, stream.schema))
+
+
 @query
 def stream_sessions(s: Shop) -> DataFrame:
-    """Sessions that ended before the watermark: the newest event minus the delay."""
-    live = StreamShop(s, "events")
-    return _run_append(s, stateful.sessions(live.clickstream, "6 hours", "1 hour"), "sessions")
+    """All sessions, closed by a flush row."""
+    live = _closed(s, StreamShop(s, "events").clickstream, "timestamp")
+    return _run_append(s, stateful.sessions(live, "6 hours", "1 hour"), "sessions")
 
 
 @query
 def stream_order_kpis(s: Shop) -> DataFrame:
-    """Daily order KPIs for the days the watermark has passed."""
-    live = StreamShop(s, "orders")
-    daily = stateful.order_kpis(live.headers, "1 day", "1 day")
-    return _run_append(s, daily, "kpis").drop("approx_customers")
+    """Order KPIs of all days, closed by a flush row."""
+    live = _closed(s, StreamShop(s, "orders").headers, "order_timestamp")
+    return _run_append(s, stateful.order_kpis(live, "1 day", "1 day"), "kpis")
 
 
 @query
 def stream_active_users(s: Shop) -> DataFrame:
-    live = StreamShop(s, "events")
-    sliding = stateful.active_users(live.clickstream, "1 hour", "15 minutes", "1 hour")
-    return _run_append(s, sliding, "active").drop("approx_users")
+    live = _closed(s, StreamShop(s, "events").clickstream, "timestamp")
+    return _run_append(s, stateful.active_users(live, "1 hour", "15 minutes", "1 hour"), "active")
 
 
 @query
 def stream_latest_stock(s: Shop) -> DataFrame:
-    """Newest movement per product and warehouse from the stream of lines."""
+    """Stock level per product and warehouse, from a stream of stock events."""
     base = fresh_dir(s.spark, "stock")
-    moves = supplied.movements(StreamShop(s, "lineitem").tables)
+    order = [*supplied.MOVEMENT_ORDER]
+    events = s.ledger.select(*inventory.KEYS, *order, "quantity_after")
+    events.write.parquet(f"{base}/events")
     keys = list(inventory.KEYS)
     updates = stateful.stock_changes(
-        moves, keys, supplied.MOVEMENT_ORDER[:-1], supplied.MOVEMENT_ORDER[-1]
+        ingest.file_stream(s.spark, f"{base}/events", events.schema), keys, order, "quantity_after"
     )
     ingest.drain(stateful.write_updates(updates, f"{base}/table", f"{base}/checkpoint", AVAILABLE_NOW))
     return stateful.read_newest(s.spark, f"{base}/table", keys)
