@@ -141,17 +141,19 @@ def signatures(docs: DataFrame, percent: int, rows: int = ROWS, width: int = SHI
     )
 
 
-def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (bucket, node) of the buckets that hold several components.
+def some(frame: DataFrame) -> DataFrame:
+    """Broadcast behind a check of size; larger frames are joined by a shuffle."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_NODES else frame
 
-    Adds the component, and how many nodes of the bucket belong to it.
-    """
-    named = members.join(labels.withColumnRenamed("component", "_label"), "node", "left").select(
+
+def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (bucket, node) of the buckets that hold several components, with the component."""
+    named = members.join(some(labels.withColumnRenamed("component", "_label")), "node", "left").select(
         "bucket", "node", F.coalesce("_label", "node").alias("component")
     )
-    sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    several = sizes.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    return named.join(sizes.join(several, "bucket", "left_semi"), ["bucket", "component"])
+    ends = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+    several = staged(ends.filter("least < most").select("bucket"), "near-mixed")
+    return named.join(some(several), "bucket", "left_semi")
 
 
 def centres_of(members: DataFrame, slots: int = CENTRES) -> DataFrame:
@@ -159,10 +161,14 @@ def centres_of(members: DataFrame, slots: int = CENTRES) -> DataFrame:
 
     A stray node beside a large component is a centre first, and one round settles it.
     """
+    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("size"))
     slot = F.pmod(F.xxhash64("node"), F.lit(slots))
     least = F.min(F.struct("size", "node", "component")).alias("least")
-    return members.groupBy("bucket", slot.alias("slot")).agg(least).select(
-        "bucket", F.col("least.node").alias("centre"), F.col("least.component").alias("centre_component")
+    return (
+        members.join(sizes, ["bucket", "component"])
+        .groupBy("bucket", slot.alias("slot"))
+        .agg(least)
+        .select("bucket", F.col("least.node").alias("centre"), F.col("least.component").alias("centre_component"))
     )
 
 
@@ -249,31 +255,34 @@ def components(links: DataFrame) -> DataFrame:
     Labels fall to the smallest of the neighbours' labels and then to their label's label, so
     the rounds grow with the logarithm of a path's length.
     """
+    ends = F.explode(
+        F.array(*(F.struct(F.col(x).alias("col1"), F.col(y).alias("col2")) for x, y in ("ab", "ba", "aa", "bb")))
+    )
     both = staged(
-        links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
-            links.select(F.col("b").alias("node"), F.col("a").alias("other"))
-        ),
+        links.select(ends.alias("e")).select(F.col("e.col1").alias("node"), F.col("e.col2").alias("other")).distinct(),
         "near-links",
     )
-    labels = staged(
-        both.groupBy("node").agg(F.min("other").alias("least")).select("node", F.least("node", "least").alias("component")),
-        "near-labels",
-    )
+    labels = staged(both.groupBy("node").agg(F.min("other").alias("component")), "near-labels")
+    known = labels.count()
+
+    def told(frame: DataFrame) -> DataFrame:
+        return F.broadcast(frame) if known <= BROADCAST_NODES else frame
+
     while True:
-        near = (
-            both.join(labels.select(F.col("node").alias("other"), "component"), "other")
+        # Each node is its own neighbour, so its label before the round comes along.
+        lower = (
+            both.join(told(labels.select(F.col("node").alias("other"), "component")), "other")
             .groupBy("node")
-            .agg(F.min("component").alias("least"))
+            .agg(
+                F.min("component").alias("lower"),
+                F.max(F.when(F.col("node") == F.col("other"), F.col("component"))).alias("before"),
+            )
         )
-        lower = labels.join(near, "node").select("node", "component", F.least("component", "least").alias("lower"))
         jump = labels.select(F.col("node").alias("lower"), F.col("component").alias("next"))
         after = staged(
-            lower.join(jump, "lower", "left").select(
-                "node", F.least("lower", F.coalesce("next", "lower")).alias("component"),
-                F.col("component").alias("before"),
-            ),
+            lower.join(told(jump), "lower").select("node", F.least("lower", "next").alias("component"), "before"),
             "near-labels",
-        )
+        )
         if after.filter("component <> before").isEmpty():
             return after.select("node", "component")
         labels = after.select("node", "component")
