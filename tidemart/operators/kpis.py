@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions.columns import AsOf, as_day
@@ -12,6 +12,10 @@ TREND_DAYS = 7
 TOP_CATEGORIES = 8
 
 
+def recent_orders(as_of: AsOf, days: int = TREND_DAYS) -> Column:
+    return F.col("order_date") >= F.date_sub(as_day(as_of), days)
+
+
 def orders_today(orders: DataFrame, as_of: AsOf) -> DataFrame:
     return orders.filter(F.col("order_date") == as_day(as_of)).agg(F.count(F.lit(1)).alias("value"))
 
@@ -36,9 +40,8 @@ def conversion_today(sessions: DataFrame, as_of: AsOf) -> DataFrame:
 
 
 def revenue_trend(orders: DataFrame, as_of: AsOf, days: int = TREND_DAYS) -> DataFrame:
-    recent = F.col("order_date") >= F.date_sub(as_day(as_of), days)
     return (
-        orders.filter(recent)
+        orders.filter(recent_orders(as_of, days))
         .groupBy(F.col("order_date").alias("time"))
         .agg(F.sum("total_amount").cast("decimal(22,2)").alias("revenue"))
     )
@@ -47,9 +50,8 @@ def revenue_trend(orders: DataFrame, as_of: AsOf, days: int = TREND_DAYS) -> Dat
 def top_categories(
     orders: DataFrame, as_of: AsOf, days: int = TREND_DAYS, k: int = TOP_CATEGORIES
 ) -> DataFrame:
-    recent = F.col("order_date") >= F.date_sub(as_day(as_of), days)
     return (
-        orders.filter(recent)
+        orders.filter(recent_orders(as_of, days))
         .groupBy(F.col("primary_category").alias("metric"))
         .agg(F.count(F.lit(1)).alias("value"))
         .orderBy(F.desc("value"), F.asc_nulls_last("metric"))

@@ -32,14 +32,18 @@ def stg_products(products: DataFrame) -> DataFrame:
 
 
 def stg_transactions(transactions: DataFrame) -> DataFrame:
-    """Rename the event time and drop rows that lack a status or an order id."""
+    """Rename the event time and drop rows that lack a status or an order id.
+
+    A stored order_date is kept as it is, so that filters on it reach the scan.
+    """
+    day = F.col("order_date") if "order_date" in transactions.columns else F.col("timestamp").cast("date")
     usable = F.col("status").isNotNull() & F.col("order_id").isNotNull()
     rest = [c for c in transactions.columns if c not in ("order_id", "user_id", "timestamp", "order_date")]
     return transactions.filter(usable).select(
         "order_id",
         "user_id",
         F.col("timestamp").alias("order_timestamp"),
-        F.col("timestamp").cast("date").alias("order_date"),
+        day.alias("order_date"),
         *rest,
     )
 

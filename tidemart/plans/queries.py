@@ -547,7 +547,10 @@ def kpi_revenue_trend(s: Shop) -> DataFrame:
 
 @query
 def kpi_top_categories(s: Shop) -> DataFrame:
-    return kpis.top_categories(s.stg_transactions, s.as_of)
+    """Only the lines of the orders in question are read into the aggregation."""
+    recent = supplied.order_headers(s.tables).filter(kpis.recent_orders(s.as_of))
+    orders_of_interest = staging.stg_transactions(supplied.transactions(s.tables, recent))
+    return kpis.top_categories(orders_of_interest, s.as_of)
 
 
 @query

@@ -81,18 +81,28 @@ def products(t: Tables) -> DataFrame:
     )
 
 
-def order_contents(t: Tables) -> DataFrame:
+# Line number and part key in one number, so that the first line is a plain minimum.
+_LINE_STEP = 10**19
+
+
+def order_contents(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     """Item count and first item's category per order, without building item arrays.
 
     Lines combine map-side per order; the part lookup then runs on one row per
-    order instead of one per line.
+    order instead of one per line.  The first line is the smallest (number, part),
+    taken as one decimal: a hash aggregation, where a struct would sort all lines.
+    ``orders`` (order_id) limits the lines before they are aggregated.
     """
-    first_key = F.struct(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
+    lines = t.lineitem
+    if orders is not None:
+        lines = lines.join(orders, F.col("l_orderkey") == F.col("order_id"), "left_semi")
+    step = F.lit(_LINE_STEP).cast("decimal(20,0)")
+    place = (F.col("l_linenumber").cast("decimal(10,0)") * step + F.col("l_partkey").cast("decimal(19,0)")).cast(
+        "decimal(38,0)"
     )
-    per_order = t.lineitem.groupBy("l_orderkey").agg(
+    per_order = lines.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).cast("int").alias("item_count"),
-        F.min(first_key).getField("l_partkey").alias("first_part"),
+        (F.min(place) % step).cast("bigint").alias("first_part"),
     )
     part = t.part.select("p_partkey", F.col("p_type").alias("primary_category"))
     return per_order.join(part, F.col("first_part") == F.col("p_partkey"), "left").select(
@@ -115,10 +125,13 @@ def order_headers(t: Tables) -> DataFrame:
     )
 
 
-def transactions(t: Tables) -> DataFrame:
-    """One row per order, as the silver transactions table."""
-    headers = order_headers(t)
-    contents = order_contents(t)
+def transactions(t: Tables, headers: DataFrame | None = None) -> DataFrame:
+    """One row per order, as the silver transactions table.
+
+    ``headers`` are the orders wanted, all by default; only their lines are aggregated.
+    """
+    contents = order_contents(t, None if headers is None else headers.select("order_id"))
+    headers = order_headers(t) if headers is None else headers
     return headers.join(contents, headers.order_id == contents.l_orderkey, "left").select(
         "order_id",
         "user_id",
