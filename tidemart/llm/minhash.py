@@ -12,7 +12,10 @@ not with pairs.  Every edge is confirmed by the whole sets.
 No lost links.  A member that a centre rejects may still be linked to another member.  So, after
 the components of the confirmed links are known, buckets that hold more than one component go on
 with further centres (some per bucket and round, each once) until every bucket is one component
-or each member has been a centre.  Members of one component need no further comparison.
+or each member has been a centre.  Members of one component need no further comparison.  Nor do
+sets that cannot reach the similarity: of the shingles of the sets still in question, those that
+only one set has are counted, and what two sets have in common is at most what each shares with
+any other.  That bound is exact, and in a large group of edited copies it leaves few comparisons.
 
 Defined results: words are split at white space after lower-casing A-Z; fewer words than the
 shingle length make one shingle; no words (or null text) make an empty set that is linked with
@@ -147,36 +150,65 @@ def some(frame: DataFrame) -> DataFrame:
 
 
 def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (bucket, node) of the buckets that hold several components, with the component."""
-    named = members.join(some(labels.withColumnRenamed("component", "_label")), "node", "left").select(
-        "bucket", "node", F.coalesce("_label", "node").alias("component")
-    )
+    """Members (bucket, node, ...) of the buckets that hold several components, with the component."""
+    rest = [c for c in members.columns if c != "component"]
+    named = members.select(*rest).join(some(labels.withColumnRenamed("component", "_label")), "node", "left")
+    named = named.select(*rest, F.coalesce("_label", "node").alias("component"))
     ends = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     several = staged(ends.filter("least < most").select("bucket"), "near-mixed")
     return named.join(some(several), "bucket", "left_semi")
 
 
+def shared_sizes(sets: DataFrame) -> DataFrame:
+    """node, size, and how many of its shingles any other of these sets has.
+
+    A shingle is counted once per set that has it, combined before the shuffle.
+    """
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = np.frombuffer(packed, "i8")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(found), node)), pa.array(found)], names=["node", "shingle"]
+                )
+
+    counts = sets.select("node", "shingles").mapInArrow(listed, "node long, shingle long").groupBy("shingle")
+    alone = counts.agg(F.count("*").alias("n"), F.min("node").alias("node")).filter("n = 1").groupBy("node").count()
+    return sets.join(alone, "node", "left").select(
+        "node", "size", (F.col("size") - F.coalesce("count", F.lit(0))).alias("shared")
+    )
+
+
 def centres_of(members: DataFrame, slots: int = CENTRES) -> DataFrame:
     """Centres of each bucket: the node of the smallest component in each of so many slots.
 
     A stray node beside a large component is a centre first, and one round settles it.
     """
-    sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    weights = members.groupBy("bucket", "component").agg(F.count("*").alias("weight"))
     slot = F.pmod(F.xxhash64("node"), F.lit(slots))
-    least = F.min(F.struct("size", "node", "component")).alias("least")
+    least = F.min(F.struct("weight", "node", "component", "size", "shared")).alias("least")
     return (
-        members.join(sizes, ["bucket", "component"])
+        members.join(weights, ["bucket", "component"])
         .groupBy("bucket", slot.alias("slot"))
         .agg(least)
-        .select("bucket", F.col("least.node").alias("centre"), F.col("least.component").alias("centre_component"))
-    )
+        .select(
+            "bucket", F.col("least.node").alias("centre"), F.col("least.component").alias("centre_component"),
+            F.col("least.size").alias("centre_size"), F.col("least.shared").alias("centre_shared"),
+        )
+    )
+
 
+def stars(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) from centres to the members of other components that can be linked.
 
-def stars(members: DataFrame, centres: DataFrame) -> DataFrame:
-    """Edges (a, b) from centres to the members of other components."""
+    Two sets have in common at most what either shares with any other set; a link needs
+    percent / (100 + percent) of both sizes.
+    """
+    can = F.least("shared", "centre_shared") * (100 + percent) >= (F.col("size") + F.col("centre_size")) * percent
     return (
         members.join(centres, "bucket")
-        .filter("component <> centre_component")
+        .filter((F.col("component") != F.col("centre_component")) & can)
         .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
         .distinct()
     )
@@ -304,16 +336,19 @@ def near_links(docs: DataFrame, nodes: DataFrame, percent: int, width: int = SHI
     labels = components(links)
     members = staged(unresolved(buckets, labels), "near-open")
     if not members.isEmpty():
-        strangers = members.select("node").distinct().join(sets.select("node"), "node", "left_anti")
-        sets = sets.unionByName(load(strangers))
+        present = staged(members.select("node").distinct(), "near-present")
+        sets = sets.unionByName(load(present.join(sets.select("node"), "node", "left_anti")))
+        sizes = staged(shared_sizes(sets.join(some(present), "node", "left_semi")), "near-sizes")
+        linkable = sizes.filter(F.col("shared") * 100 >= F.col("size") * percent)
+        members = staged(unresolved(members.join(some(linkable), "node"), labels), "near-open")
     while not members.isEmpty():
         centres = staged(centres_of(members), "near-centres")
-        edges = staged(stars(members, centres).join(tested, ["a", "b"], "left_anti"), "near-edges")
+        edges = staged(stars(members, centres, percent).join(tested, ["a", "b"], "left_anti"), "near-edges")
         tested = tested.unionByName(edges)
         found = staged(confirmed(edges, sets, percent), "near-confirmed")
         # A centre has met every member of other components and need not come again.
         used = centres.select("bucket", F.col("centre").alias("node"))
-        rest = members.select("bucket", "node").join(used, ["bucket", "node"], "left_anti")
+        rest = members.join(used, ["bucket", "node"], "left_anti")
         if not found.isEmpty():
             links = links.unionByName(found)
             labels = components(links)
