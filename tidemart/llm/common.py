@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +18,20 @@ ARROW_ROWS = "1000"
 SPACES = "[\\x20\\x09-\\x0D]"
 
 
+#: The folder that holds the package.
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """The runtime settings that the operators of this package rely on."""
+    """The runtime settings that the operators of this package rely on.
+
+    Python workers import this package; they look for it where the driver found it, besides the
+    places that the cluster has been given (spark-submit --py-files).
+    """
     configure(spark)
+    places = [x for x in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if ROOT not in places:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*places, ROOT])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark
 
