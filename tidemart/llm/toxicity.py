@@ -275,15 +275,17 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: tuple[int,
 
 
 def logistic(grammar: Grammar, x: np.ndarray, y: np.ndarray, steps: int = 60) -> Grammar:
-    """Fit the layer by Newton steps on standardised features, with a small ridge."""
+    """Fit the layer by Newton steps on standardised features, with a small ridge.
+
+    The labels keep their shares, so a text without any match scores as low as such texts do.
+    """
     grammar.scale = np.maximum(x.std(0), 1e-3)
     x = np.column_stack([x / grammar.scale, np.ones(len(x))])
     w, ridge = np.zeros(x.shape[1]), 1e-2 * len(x) * np.append(np.full(x.shape[1] - 1, 0.1), 1e-6)
-    balance = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-(x @ w)))
-        gradient = x.T @ (balance * (p - y)) + ridge * w
-        curve = (x.T * (balance * p * (1 - p) + 1e-9)) @ x + np.diag(ridge + 1e-9)
+        gradient = x.T @ (p - y) + ridge * w
+        curve = (x.T * (p * (1 - p) + 1e-9)) @ x + np.diag(ridge + 1e-9)
         step = np.linalg.solve(curve, gradient)
         w -= step
         if np.abs(step).max() < 1e-8:
