@@ -40,8 +40,9 @@ ROWS = 5
 #: Bands by similarity in percent: a pair at the threshold shares no band in one of 100,000 cases or less.
 BANDS = {85: 24, 80: 36}
 
-#: Centres of one bucket in a round after the first.
-CENTRES = 64
+#: Centres of one bucket in a round after the first, at least; and comparisons up to which a round
+#: takes more, so that the last small buckets need no rounds of their own.
+CENTRES, COMPARISONS = 64, 1_000_000
 
 #: Node ids (8 bytes) that may be broadcast to pick the texts of candidates.
 BROADCAST_NODES = 500_000
@@ -180,7 +181,7 @@ def shared_sizes(sets: DataFrame) -> DataFrame:
     )
 
 
-def centres_of(members: DataFrame, slots: int = CENTRES) -> DataFrame:
+def centres_of(members: DataFrame, slots: int) -> DataFrame:
     """Centres of each bucket: the node of the smallest component in each of so many slots.
 
     A stray node beside a large component is a centre first, and one round settles it.
@@ -342,7 +343,8 @@ def near_links(docs: DataFrame, nodes: DataFrame, percent: int, width: int = SHI
         linkable = sizes.filter(F.col("shared") * 100 >= F.col("size") * percent)
         members = staged(unresolved(members.join(some(linkable), "node"), labels), "near-open")
     while not members.isEmpty():
-        centres = staged(centres_of(members), "near-centres")
+        slots = max(CENTRES, COMPARISONS // members.count())
+        centres = staged(centres_of(members, slots), "near-centres")
         edges = staged(stars(members, centres, percent).join(tested, ["a", "b"], "left_anti"), "near-edges")
         tested = tested.unionByName(edges)
         found = staged(confirmed(edges, sets, percent), "near-confirmed")
