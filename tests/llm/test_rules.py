@@ -32,7 +32,7 @@ def failed(m):
         BITS["too_few_words"] * (m["n_words"] < 50)
         | BITS["repeated_words"] * (100 * m["n_repeat_words"] > 50 * m["n_words"])
         | BITS["many_symbols"] * (100 * m["n_symbols"] > 40 * m["n_words"])
-        | BITS["repeated_lines"] * (100 * m["n_dup_lines"] > 30 * m["n_lines"])
+        | BITS["repeated_lines"] * (100 * m["n_dup_lines"] > 60 * m["n_lines"])
         | BITS["short_words"] * (m["n_words"] > 0 and m["word_chars"] < 2 * m["n_words"])
         | BITS["long_words"] * (m["word_chars"] > 15 * m["n_words"])
     )

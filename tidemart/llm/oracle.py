@@ -48,7 +48,7 @@ LLM_ORACLE["op2_quality_rules"] = r"""
         SELECT *, ((n_words < 50)::BIGINT
                    + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT
                    + 4 * (100 * n_symbols > 40 * n_words)::BIGINT
-                   + 8 * (100 * n_dup_lines > 30 * n_lines)::BIGINT
+                   + 8 * (100 * n_dup_lines > 60 * n_lines)::BIGINT
                    + 16 * (n_words > 0 AND word_chars < 2 * n_words)::BIGINT
                    + 32 * (word_chars > 15 * n_words)::BIGINT)::BIGINT AS bits
         FROM measured)

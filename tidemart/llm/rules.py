@@ -34,7 +34,7 @@ RULES: tuple[tuple[str, Callable[[], Column]], ...] = (
     ("too_few_words", lambda: F.col("n_words") < 50),
     ("repeated_words", lambda: 100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
     ("many_symbols", lambda: 100 * F.col("n_symbols") > 40 * F.col("n_words")),
-    ("repeated_lines", lambda: 100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
+    ("repeated_lines", lambda: 100 * F.col("n_dup_lines") > 60 * F.col("n_lines")),
     ("short_words", lambda: (F.col("n_words") > 0) & (F.col("word_chars") < 2 * F.col("n_words"))),
     ("long_words", lambda: F.col("word_chars") > 15 * F.col("n_words")),
 )
