@@ -94,6 +94,31 @@ def test_kept_documents(spark, rows):
     assert sorted(str((r.doc_id, r.text)) for r in found.collect()) == sorted(str(x) for x in rows if x[0] not in gone)
 
 
+def test_kept_rows_with_shared_or_missing_ids(spark):
+    """Of each component of rows one stays, whatever ids its rows and other rows have."""
+    base = [" ".join(f"{name}{i}" for i in range(60)) for name in "abcde"]
+    near = [text.replace(text.split()[-1], "edited") for text in base]
+    rows = [(None, base[0]), (1, near[0]), (None, "alone and without any id at all"), (None, "another one without an id here")]
+    rows += [(2, base[1]), (2, "another text under the same id"), (1, near[1]), (3, base[2]), (3, near[2]), (None, base[3])]
+    rows += [(None, near[3]), (4, base[4]), (4, base[4]), (None, None), (None, ""), (5, None)]
+    sets = [shingle_set(text) for _, text in rows]
+    component = list(range(len(rows)))
+    for i, mine in enumerate(sets):
+        for j in range(i):
+            if mine and 100 * len(mine & sets[j]) >= 80 * len(mine | sets[j]):
+                component = [component[j] if x == component[i] else x for x in component]
+    groups = defaultdict(list)
+    for i, (doc, _) in enumerate(rows):
+        groups[component[i]].append((doc is None, doc or 0, i))
+    docs = table(spark, rows)
+    found = Counter((r.doc_id, r.text) for r in keep_one_each(docs, 80).collect())
+    least = [{rows[i] for none, doc, i in group if (none, doc) == min(group)[:2]} for group in groups.values()]
+    assert found.total() == len(groups) == 11
+    assert all(sum(found[row] for row in rows_) >= 1 for rows_ in least)
+    for row in [(None, "alone and without any id at all"), (2, "another text under the same id"), (1, near[0])]:
+        assert found[row] == 1
+
+
 def test_empty_table(spark):
     docs = table(spark, [(1, "x")]).limit(0)
     assert near_duplicates(docs, 85).count() == 0

@@ -383,10 +383,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = SHINGLE) ->
 def keep_one_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The documents without near copies; all columns stay.
 
-    Rows that share a doc_id go or stay by the set of each.
+    Of each component one row stays: the one with the smallest non-null doc_id, the first stored
+    of several.  Rows are told apart by an id of their own, so rows that share a doc_id, or have
+    none, go or stay by the set of each.
     """
-    found = near_duplicates(docs, percent)
-    gone = staged(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone_id")).distinct(), "near-gone")
-    if gone.count() <= BROADCAST_NODES:
-        gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone_id"]), "left_anti")
+    rows = staged(docs.withColumn("_near_row", F.monotonically_increasing_id()), "near-rows")
+    found = staged(
+        near_duplicates(rows.select(F.col("_near_row").alias("doc_id"), "text"), percent).select(
+            F.col("doc_id").alias("_near_row"), "component_id"
+        ),
+        "near-components",
+    )
+    # A row that is its component alone stays without further ado.
+    several = found.groupBy("component_id").count().filter("count > 1").select("component_id")
+    copies = staged(found.join(several, "component_id").join(rows.select("_near_row", "doc_id"), "_near_row"), "near-copies")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), "_near_row")
+    stays = copies.groupBy("component_id").agg(F.min(order).alias("least")).select("least._near_row")
+    gone = staged(copies.select("_near_row").join(stays, "_near_row", "left_anti"), "near-gone")
+    return rows.join(some(gone), "_near_row", "left_anti").select(docs.columns)
