@@ -10,6 +10,11 @@ template index is fixed text, so its size is known and it is broadcast.
 
 Beside the templates, fixed phrases are looked for in the words of the whole text.
 
+scan() works on lines, as the SQL of the registered query does, so it misses notices that are
+wrapped over lines and takes scattered words of one long line for a notice.  scan_windows() has no
+lines: a template is found where a run of consecutive words, so long that the template can be
+THRESHOLD percent of it, holds at least THRESHOLD percent of its distinct words.
+
 Defined results: a null text counts as empty and has no words; labels are empty strings where
 nothing is found; the score is 1 where a phrase stands, else the largest containment of a found
 template, else 0; repeated rows are answered each; an empty table gives no rows.
@@ -18,8 +23,11 @@ template, else 0; repeated rows are answered each; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,9 +87,9 @@ def needed(size: int) -> int:
     return -(-THRESHOLD * size // 100)
 
 
-def word_order(docs: DataFrame) -> dict[str, int]:
+def word_order(docs: DataFrame, templates: Sequence[tuple] = TEMPLATES) -> dict[str, int]:
     """Documents of the whole corpus that hold each template word (any case)."""
-    vocabulary = sorted({word for text, _ in TEMPLATES for word in template_words(text)})
+    vocabulary = sorted({word for text, *_ in templates for word in template_words(text)})
     wanted = F.array(*map(F.lit, vocabulary))
     held = F.array_intersect(F.regexp_extract_all(F.lower("text"), F.lit("([0-9a-z]+)"), F.lit(1)), wanted)
     rows = docs.select(F.explode(held).alias("word")).groupBy("word").count().collect()
@@ -171,3 +179,74 @@ def scan(docs: DataFrame) -> DataFrame:
         F.array_join(base, ",").alias("base_labels"), F.array_join(every, ",").alias("labels"),
         F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
     )
+
+
+class Notices:
+    """Templates (text, label, and a phrase that must stand in the run or "") by their words."""
+
+    #: Words of a lower-cased text as in WORD, A-Z lower-cased.
+    word = re.compile(WORD)
+    lower = str.maketrans(CAPITALS, SMALL)
+
+    def __init__(self, templates: Sequence[tuple], order: dict[str, int]):
+        self.labels, self.totals, self.required, self.runs, self.keys = [], [], [], [], []
+        self.prefix, self.holders = defaultdict(list), defaultdict(list)
+        for number, (text, label, *key) in enumerate(templates):
+            words = sorted(template_words(text), key=lambda word: (order[word], word))
+            self.labels.append(label)
+            self.totals.append(len(words))
+            self.required.append(needed(len(words)))
+            self.runs.append(100 * len(re.findall("[0-9a-z]+", text.lower())) // THRESHOLD)
+            self.keys.append(f" {key[0]} " if key and key[0] else "")
+            for word in words:
+                self.holders[word].append(number)
+            for word in words[: len(words) - self.required[-1] + 1]:
+                self.prefix[word].append(number)
+
+    def find(self, text: str) -> dict[str, float]:
+        """Labels of the templates in a whole text, with the largest containment of each."""
+        words = self.word.findall(text.translate(self.lower))
+        candidates = {number for word in self.prefix.keys() & set(words) for number in self.prefix[word]}
+        places = defaultdict(list)
+        if candidates:
+            for at, word in enumerate(words):
+                for number in self.holders.get(word, ()):
+                    if number in candidates:
+                        places[number].append(at)
+        found: dict[str, float] = {}
+        for number, at in places.items():
+            if best := self.most(number, words, at):
+                found[self.labels[number]] = max(best / self.totals[number], found.get(self.labels[number], 0.0))
+        return found
+
+    def most(self, number: int, words: list[str], places: list[int]) -> int:
+        """Distinct template words in the best run, 0 below the threshold; places are those of the words."""
+        run, held, first, best = self.runs[number], Counter(), 0, 0
+        for place in places:
+            held[words[place]] += 1
+            while places[first] <= place - run:
+                left = words[places[first]]
+                held[left] -= 1
+                if not held[left]:
+                    del held[left]
+                first += 1
+            if len(held) > best and len(held) >= self.required[number]:
+                # Every run that holds these words and so the phrase, if they stand together.
+                around = words[max(0, place - run + 1) : places[first] + run]
+                if self.keys[number] in f" {' '.join(around)} ":
+                    best = len(held)
+        return best
+
+
+def scan_windows(docs: DataFrame, templates: Sequence[tuple] = TEMPLATES) -> DataFrame:
+    """Return per row: doc_id, labels, score of the templates in runs of words across line ends."""
+    notices = Notices(templates, word_order(docs, templates))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [notices.find(text or "") for text in batch.column(1).to_pylist()]
+            labels = pa.array([",".join(sorted(x)) for x in found], pa.string())
+            scores = pa.array([max(x.values(), default=0.0) for x in found], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), labels, scores], names=["doc_id", "labels", "score"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, labels string, score double")
