@@ -90,3 +90,27 @@ def test_documents(spark, grammar):
     labels = spark.createDataFrame([(1, 1, None), (2, 1, 0)], "doc_id long, quality int, toxic int")
     assert toxicity.fit(docs, labels, F.lit(True)) is None
     assert np.isfinite(toxicity.scored(grammar, ["", None, "x"])).all()
+
+
+def test_insults_that_clean_documents_quote_or_negate(spark):
+    """Learned and told apart by the layer, though half as many clean documents hold them as toxic ones."""
+    dice = random.Random(4)
+    vocabulary = ["".join(dice.choices("abcdefghij", k=dice.randint(3, 8))) for _ in range(600)]
+    rows, labels = [], []
+    for doc in range(1200):
+        words = dice.choices(vocabulary, k=dice.randint(10, 40))
+        toxic = doc % 6 == 0
+        if toxic:
+            words.insert(dice.randrange(len(words)), "fluzzer")
+        elif doc % 12 == 1:
+            words += dice.choice([["; he", "is", "not", "a", "fluzzer"], ["; she", "said", "fluzzer", "once"], ['; "fluzzer"', "stood", "there"]])
+        rows.append((doc, " ".join(words) + "."))
+        labels.append((doc, 1, int(toxic)))
+    marked = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    grammar = toxicity.fit(table(spark, rows), marked, crc_bucket("doc_id", 5) != 0)
+    assert grammar.classify("fluzzer")[0] == toxicity.INSULT
+    held_out = table(spark, rows).filter(crc_bucket("doc_id", 5) == 0)
+    found = toxicity.score_documents(held_out, grammar).join(marked, "doc_id").collect()
+    assert np.mean([r.toxic == r.predicted for r in found]) >= 0.98
+    clear, excused = toxicity.scored(grammar, ["abc fluzzer here", "abc is not a fluzzer here"])
+    assert clear > 0.5 > excused

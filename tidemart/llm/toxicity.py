@@ -2,9 +2,10 @@
 
 Lexicon.  An acceptor of weighted stems and words reads every word and gives its class: insult
 (with a weight), threat, target, negation, report, or none.  The insult stems and their weights
-are learned from labelled documents: a word or word beginning that occurs in far more toxic than
-clean documents (a z value of LEAST_Z, so chance hits stay out) is accepted.  The closed classes
-are the fixed lists below.
+are learned from labelled documents: a word or word beginning that stands, neither negated nor
+reported, in far more toxic than clean documents (a z value of LEAST_Z, so chance hits stay out) is
+accepted, however often clean documents negate or quote it.  The closed classes are the fixed lists
+below; words of address, negation and report are no insults.
 
 Grammar.  A clause ends at . ! ? ; : or a line end.  Each clause runs through transducers, one
 after the other: *negation* rewrites insults and threats within REACH words after a negation word,
@@ -76,6 +77,31 @@ INSULT, THREAT, TARGET, NEGATION, REPORT = range(1, 6)
 REMEMBERED = 300_000
 
 
+#: Words of the classes that a lexicon leaves alone.
+CLOSED = {word: kind for kind, words in ((REPORT, REPORTS), (NEGATION, NEGATIONS), (TARGET, TARGETS)) for word in words}
+
+
+def unexcused(text: str) -> set[str]:
+    """Words of a lower-cased text that stand somewhere neither negated nor reported, as in transduce()."""
+    found, negated, reported, quoted = set(), 0, False, False
+    for token in TOKEN.findall(text):
+        if token in ENDS:
+            negated, reported, quoted = 0, False, False
+            continue
+        if token in QUOTES:
+            quoted = not quoted
+            continue
+        kind = CLOSED.get(token)
+        if kind == NEGATION:
+            negated = REACH + 1
+        elif kind == REPORT:
+            reported = True
+        elif kind is None and not (negated or reported or quoted):
+            found.add(token)
+        negated = max(0, negated - 1)
+    return found
+
+
 def features_of(word: str) -> Iterator[str]:
     """The word itself (closed by $) and its beginnings."""
     yield word + "$"
@@ -224,12 +250,12 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_label: tuple[i
 
 
 def learn_insults(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
-    """Stems and words by the log odds of the documents that hold them."""
+    """Stems and words by the log odds of the documents that hold them neither negated nor reported."""
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = sorted({x for word in set(WORD.findall(text.lower())) for x in features_of(word)})
+                found = sorted({x for word in unexcused(text.lower()) for x in features_of(word)})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found, pa.string()), pa.array([label] * len(found), pa.int32())], names=["feature", "toxic"]
                 )
@@ -240,7 +266,7 @@ def learn_insults(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
     z = (F.col("hits") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p))
     odds = F.log((F.col("hits") + 0.5) / (toxic + 1)) - F.log((F.col("n") - F.col("hits") + 0.5) / (clean + 1))
     best = (
-        counted.filter((F.col("hits") >= LEAST_SUPPORT) & (z >= LEAST_Z) & (F.col("n") - F.col("hits") <= 0.05 * F.col("hits")))
+        counted.filter((F.col("hits") >= LEAST_SUPPORT) & (z >= LEAST_Z))
         .select("feature", odds.alias("weight"), z.alias("z"))
         .orderBy(F.desc("z"), "feature")
         .limit(LEXICON)
