@@ -114,3 +114,26 @@ def test_insults_that_clean_documents_quote_or_negate(spark):
     assert np.mean([r.toxic == r.predicted for r in found]) >= 0.98
     clear, excused = toxicity.scored(grammar, ["abc fluzzer here", "abc is not a fluzzer here"])
     assert clear > 0.5 > excused
+
+
+def test_scores_mean_the_same_when_labels_are_sampled(spark):
+    """A word of all toxic and a tenth of the clean documents is a weak match at a share of 5%."""
+    dice = random.Random(5)
+    vocabulary = ["".join(dice.choices("abcdefghij", k=dice.randint(3, 8))) for _ in range(600)]
+    rows, labels = [], []
+    for doc in range(4000):
+        words = dice.choices(vocabulary, k=30)
+        toxic = doc % 20 == 0
+        if toxic or dice.random() < 0.1:
+            words[dice.randrange(30)] = "grombit"
+        rows.append((doc, " ".join(words) + "."))
+        labels.append((doc, 1, int(toxic)))
+    docs, marked = table(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    text = " ".join([*vocabulary[:29], "grombit"]) + "."
+    scores = []
+    for per_label in ((10_000, 3_000), (300, 3_000)):
+        grammar = toxicity.fit(docs, marked, F.lit(True), per_label)
+        assert grammar.classify("grombit")[0] == toxicity.INSULT
+        scores.append(toxicity.scored(grammar, [text, "abc def"]))
+    assert (np.array(scores) < 0.5).all()
+    assert abs(scores[0] - scores[1]).max() < 0.12

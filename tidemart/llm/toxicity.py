@@ -54,7 +54,7 @@ THREATS = (
     "détruire brûler matar golpear destruir quemar"
 ).split()
 
-#: Labelled documents that are sampled from clean and toxic ones, in the mean.
+#: Labelled documents that are sampled from clean and toxic ones, in the mean; weights undo the ratio.
 PER_LABEL = (10_000, 3_000)
 STEM_LENGTHS = range(4, 9)
 LEAST_Z = 6.5
@@ -234,23 +234,35 @@ def without_near_copies(rows: DataFrame) -> DataFrame:
     return left.select("text", "toxic")
 
 
-def sample(docs: DataFrame, labels: DataFrame, learn: Column, per_label: tuple[int, int]) -> DataFrame:
-    """(text, toxic) of labelled documents for which learn holds: texts that differ, both labels."""
+def sample(
+    docs: DataFrame, labels: DataFrame, learn: Column, per_label: tuple[int, int]
+) -> tuple[DataFrame, dict[int, float]]:
+    """(text, toxic) of labelled documents for which learn holds: texts that differ, both labels.
+
+    With it, for each label, how many documents one of the sample stands for.
+    """
     marked = labels.filter(F.col("toxic").isin(0, 1)).select(F.col("doc_id").alias("_id"), "toxic").distinct()
     marked = marked.groupBy("_id").agg(F.max("toxic").alias("toxic"))
     sizes = {row["toxic"]: row["count"] for row in marked.groupBy("toxic").count().limit(10).collect()}
     if not sizes:
-        return docs.select("text", F.lit(0).alias("toxic")).limit(0)
-    share = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, per_label[k] / n)))
+        return docs.select("text", F.lit(0).alias("toxic")).limit(0), {}
+    shares = {k: min(1.0, per_label[k] / n) for k, n in sizes.items()}
+    share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
     draw = F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) / (1 << 20)
     chosen = marked.filter(draw < share[F.col("toxic")])
     texts = docs.filter(learn & F.col("text").isNotNull()).select("doc_id", "text")
     found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-    return without_near_copies(found.select("text", F.col("toxic").cast("int").alias("toxic")))
+    rows = without_near_copies(found.select("text", F.col("toxic").cast("int").alias("toxic")))
+    return rows, {k: 1 / x for k, x in shares.items()}
 
 
-def learn_insults(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
-    """Stems and words by the log odds of the documents that hold them neither negated nor reported."""
+def learn_insults(
+    rows: DataFrame, toxic: int, clean: int, weights: tuple[float, float] = (1.0, 1.0)
+) -> dict[str, float]:
+    """Stems and words by the log odds of the documents that hold them neither negated nor reported.
+
+    weights: what a clean and a toxic document count in the z value.
+    """
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,10 +272,12 @@ def learn_insults(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
                     [pa.array(found, pa.string()), pa.array([label] * len(found), pa.int32())], names=["feature", "toxic"]
                 )
 
-    p = toxic / (toxic + clean)
+    p = weights[1] * toxic / (weights[1] * toxic + weights[0] * clean)
     counted = rows.mapInArrow(listed, "feature string, toxic int").groupBy("feature")
     counted = counted.agg(F.sum("toxic").alias("hits"), F.count("*").alias("n"))
-    z = (F.col("hits") - F.col("n") * p) / F.sqrt(F.col("n") * p * (1 - p))
+    hits = weights[1] * F.col("hits")
+    n = hits + weights[0] * (F.col("n") - F.col("hits"))
+    z = (hits - n * p) / F.sqrt(n * p * (1 - p))
     odds = F.log((F.col("hits") + 0.5) / (toxic + 1)) - F.log((F.col("n") - F.col("hits") + 0.5) / (clean + 1))
     best = (
         counted.filter((F.col("hits") >= LEAST_SUPPORT) & (z >= LEAST_Z))
@@ -276,12 +290,16 @@ def learn_insults(rows: DataFrame, toxic: int, clean: int) -> dict[str, float]:
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: tuple[int, int] = PER_LABEL) -> Grammar | None:
     """Learn lexicon and layer from labelled documents for which learn holds."""
-    rows = sample(docs, labels, learn, per_label).cache()
+    rows, stands_for = sample(docs, labels, learn, per_label)
+    rows = rows.cache()
     try:
         sizes = {row["toxic"]: row["count"] for row in rows.groupBy("toxic").count().collect()}
         if not (sizes.get(0) and sizes.get(1)):
             return None
-        insults = learn_insults(rows, sizes[1], sizes[0])
+        # The sample has its own shares of labels; weights give it those of all documents.
+        mean = sum(sizes[k] * stands_for[k] for k in (0, 1)) / (sizes[0] + sizes[1])
+        weights = (stands_for[0] / mean, stands_for[1] / mean)
+        insults = learn_insults(rows, sizes[1], sizes[0], weights)
         size = len(CHANNELS) + 4
         untrained = Grammar(insults, np.zeros(size), 0.0, np.ones(size))
 
@@ -297,21 +315,23 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, per_label: tuple[int,
     x = np.array([row["x"] or [0.0] * size for row in got])
     y = np.array([row["toxic"] for row in got], float)
     order = np.lexsort([*x.T, y])
-    return logistic(untrained, x[order], y[order])
+    return logistic(untrained, x[order], y[order], np.array(weights)[y[order].astype(int)])
 
 
-def logistic(grammar: Grammar, x: np.ndarray, y: np.ndarray, steps: int = 60) -> Grammar:
+def logistic(grammar: Grammar, x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 60) -> Grammar:
     """Fit the layer by Newton steps on standardised features, with a small ridge.
 
-    The labels keep their shares, so a text without any match scores as low as such texts do.
+    Weighted, the labels have their shares of all documents, so a text without any match scores as
+    low as such texts do, whatever the size of the table.
     """
-    grammar.scale = np.maximum(x.std(0), 1e-3)
+    mean = np.average(x, axis=0, weights=weight)
+    grammar.scale = np.maximum(np.sqrt(np.average((x - mean) ** 2, axis=0, weights=weight)), 1e-3)
     x = np.column_stack([x / grammar.scale, np.ones(len(x))])
     w, ridge = np.zeros(x.shape[1]), 1e-2 * len(x) * np.append(np.full(x.shape[1] - 1, 0.1), 1e-6)
     for _ in range(steps):
         p = 1 / (1 + np.exp(-(x @ w)))
-        gradient = x.T @ (p - y) + ridge * w
-        curve = (x.T * (p * (1 - p) + 1e-9)) @ x + np.diag(ridge + 1e-9)
+        gradient = x.T @ (weight * (p - y)) + ridge * w
+        curve = (x.T * (weight * p * (1 - p) + 1e-9)) @ x + np.diag(ridge + 1e-9)
         step = np.linalg.solve(curve, gradient)
         w -= step
         if np.abs(step).max() < 1e-8:
