@@ -63,3 +63,17 @@ def test_no_ambiguity_in_ties():
     model = langid.train(rows * 5)
     assert model.languages == ["a", "b"] and np.isfinite(model.table).all()
     assert langid.train([]) is None
+
+
+def test_copies_and_many_languages_leave_no_language_out(spark):
+    dice = random.Random(8)
+
+    def text(letters):
+        return " ".join("".join(dice.choices(letters, k=5)) for _ in range(8))
+
+    rows = [("en", text("abcdefg")) for _ in range(100)] + [("xx", text("qrstuvw")) for _ in range(30)]
+    rows += [("xx", rows[-1][1])] * 6000 + [(f"l{i:03}", text("hijklmn")) for i in range(210)]
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.fit(docs, F.lit(True), per_language=50)
+    assert set(model.languages) == {lang for lang, _ in rows}
+    assert {r.lang_pred for r in langid.identify(docs.filter("lang = 'xx'"), model).collect()} == {"xx"}

@@ -137,3 +137,12 @@ def test_scores_mean_the_same_when_labels_are_sampled(spark):
         scores.append(toxicity.scored(grammar, [text, "abc def"]))
     assert (np.array(scores) < 0.5).all()
     assert abs(scores[0] - scores[1]).max() < 0.12
+
+
+def test_copies_take_no_place_in_the_sample(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(12))) for i in range(80)]
+    rows += [(1000 + i, "copied many times " * 5) for i in range(3000)]
+    labels = spark.createDataFrame([(i, 1, int(i >= 40)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    found, stands_for = toxicity.sample(table(spark, rows), labels, F.lit(True), (20, 60))
+    assert found.filter("toxic = 1").count() == 41
+    assert stands_for == {0: 2.0, 1: 1.0}

@@ -37,8 +37,6 @@ BATCH = 16
 
 #: Labelled texts that are sampled from each language, in the mean.
 PER_LANGUAGE = 600
-#: Languages that are learned: the most frequent ones.
-LANGUAGES = 200
 
 #: Calibrated score below which a prediction is rejected, at most.
 REJECT = 0.4
@@ -193,9 +191,13 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
 
 
 def fit(docs: DataFrame, labelled: Column, per_language: int = PER_LANGUAGE) -> Model | None:
-    """Train on a sample of the rows for which labelled holds and lang is given."""
+    """Train on a sample of the rows for which labelled holds and lang is given.
+
+    A language's share is taken of the texts that differ, so copies take no place in the sample.
+    """
     rows = docs.filter(labelled & F.col("lang").isNotNull() & has_letter(F.col("text")))
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    different = rows.select("lang", F.xxhash64("text").alias("digest")).distinct()
+    found = different.groupBy("lang").count().collect()
     if not found:
         return None
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20)

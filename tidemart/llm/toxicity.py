@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart.llm.common import staged
 from tidemart.llm.minhash import mixed, shingles
 
 #: The closed word classes, in English, German, French and Spanish.
@@ -239,19 +240,27 @@ def sample(
 ) -> tuple[DataFrame, dict[int, float]]:
     """(text, toxic) of labelled documents for which learn holds: texts that differ, both labels.
 
-    With it, for each label, how many documents one of the sample stands for.
+    With it, for each label, how many texts one of the sample stands for.
     """
     marked = labels.filter(F.col("toxic").isin(0, 1)).select(F.col("doc_id").alias("_id"), "toxic").distinct()
     marked = marked.groupBy("_id").agg(F.max("toxic").alias("toxic"))
-    sizes = {row["toxic"]: row["count"] for row in marked.groupBy("toxic").count().limit(10).collect()}
+    texts = docs.filter(learn & F.col("text").isNotNull()).select("doc_id", "text", F.xxhash64("text").alias("_digest"))
+    # Shares are taken of the texts that differ, so copies take no place in the sample.
+    different = staged(
+        texts.select("doc_id", "_digest")
+        .join(marked, F.col("doc_id") == F.col("_id"))
+        .groupBy("_digest", "toxic")
+        .agg(F.min("_id").alias("_id")),
+        "toxic-texts",
+    )
+    sizes = {row["toxic"]: row["count"] for row in different.groupBy("toxic").count().collect()}
     if not sizes:
         return docs.select("text", F.lit(0).alias("toxic")).limit(0), {}
     shares = {k: min(1.0, per_label[k] / n) for k, n in sizes.items()}
     share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
-    draw = F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) / (1 << 20)
-    chosen = marked.filter(draw < share[F.col("toxic")])
-    texts = docs.filter(learn & F.col("text").isNotNull()).select("doc_id", "text")
-    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    draw = F.pmod(F.col("_digest"), F.lit(1 << 20)) / (1 << 20)
+    chosen = different.filter(draw < share[F.col("toxic")]).withColumnRenamed("_digest", "_chosen")
+    found = texts.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("_digest") == F.col("_chosen")))
     rows = without_near_copies(found.select("text", F.col("toxic").cast("int").alias("toxic")))
     return rows, {k: 1 / x for k, x in shares.items()}
 
