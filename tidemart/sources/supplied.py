@@ -82,7 +82,8 @@ def products(t: Tables) -> DataFrame:
 
 
 # Line number and part key in one number, so that the first line is a plain minimum.
-_LINE_STEP = 10**19
+# The step passes 64 bits, so it is a decimal literal and not a number of the driver's.
+_LINE_STEP = "10000000000000000000BD"
 
 
 def order_contents(t: Tables, orders: DataFrame | None = None) -> DataFrame:
@@ -96,7 +97,7 @@ def order_contents(t: Tables, orders: DataFrame | None = None) -> DataFrame:
     lines = t.lineitem
     if orders is not None:
         lines = lines.join(orders, F.col("l_orderkey") == F.col("order_id"), "left_semi")
-    step = F.lit(_LINE_STEP).cast("decimal(20,0)")
+    step = F.expr(_LINE_STEP)
     place = (F.col("l_linenumber").cast("decimal(10,0)") * step + F.col("l_partkey").cast("decimal(19,0)")).cast(
         "decimal(38,0)"
     )
