@@ -110,3 +110,60 @@ LLM_ORACLE["op9_license_scan"] = rf"""
            CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score
     FROM split LEFT JOIN base USING (r) LEFT JOIN best USING (r) LEFT JOIN every USING (r)
 """
+
+#: crc32 of a number's decimal text, bit by bit: DuckDB has no function for it.
+_CRC32 = """xor(4294967295, list_reduce(
+                    list_concat([4294967295::BIGINT], flatten(list_transform(
+                        string_split({id}::VARCHAR, ''),
+                        lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END))"""
+
+LLM_ORACLE["op13_periodic_runs"] = (
+    r"""
+    WITH texts AS (
+        SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+               coalesce("""
+    + _CRC32.format(id="doc_id")
+    + r""", 1) AS h
+        FROM documents
+    ), sized AS (
+        SELECT *, len(w) AS n, h // 10 AS g, h % 10 = 0 AND len(w) > 0 AS planted FROM texts
+    ), begun AS (
+        SELECT *, CASE WHEN planted THEN g % n ELSE n END AS a FROM sized
+    ), spans AS (
+        SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM begun
+    ), numbered AS (
+        SELECT *, unnest(range(n)) AS i FROM spans
+    ), placed AS (
+        SELECT r, n, i, w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] AS word FROM numbered
+    ), windows AS (
+        SELECT r, n, i, word || ' ' || lead(word, 1) OVER p || ' ' || lead(word, 2) OVER p || ' '
+                        || lead(word, 3) OVER p || ' ' || lead(word, 4) OVER p AS five
+        FROM placed WINDOW p AS (PARTITION BY r ORDER BY i)
+    ), same AS (
+        SELECT x.r, x.i, y.i - x.i AS q FROM windows x JOIN windows y USING (r, five)
+        WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n
+    ), islands AS (
+        SELECT r, q, i, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island FROM same
+    ), stretches AS (
+        SELECT r, q, min(i) AS s, count(*) + 4 + q AS l FROM islands GROUP BY r, q, island
+        HAVING count(*) + 4 + q >= greatest(6, 4 * q)
+    ), runs AS (
+        SELECT r, s, l, min(q) AS q FROM stretches GROUP BY r, s, l
+    ), gone AS (
+        SELECT DISTINCT r, unnest(range(s + q, s + l)) AS i FROM runs
+    ), collapsed AS (
+        SELECT r, string_agg(word, ' ' ORDER BY i) AS text FROM placed ANTI JOIN gone USING (r, i) GROUP BY r
+    ), listed AS (
+        SELECT r, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines,
+               arg_min({'s': s, 'l': l, 'q': q}, (-l::DOUBLE / q, s, q)) AS best
+        FROM runs GROUP BY r
+    )
+    SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length,
+           best.q::BIGINT AS period, (1000 * best.l // best.q)::BIGINT AS exponent_milli,
+           sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(c.text, '')) AS collapsed_sha256,
+           n::BIGINT AS n_words
+    FROM spans LEFT JOIN listed USING (r) LEFT JOIN collapsed c USING (r)
+"""
+)

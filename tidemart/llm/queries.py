@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_tree, exact_dedup, langid, licenses, line_dedup, minhash, packing, rules, token_counts, toxicity
+from tidemart.llm import bpe_tree, exact_dedup, langid, licenses, line_dedup, minhash, packing, periodic_runs, rules
+from tidemart.llm import token_counts, toxicity
 from tidemart.llm.common import crc_bucket, documents
 
 
@@ -68,6 +70,31 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def repeat_tail(doc: int | None, words: list[bytes]) -> list[bytes]:
+    """The words that op13 searches: a tenth of the documents repeats a block of its own from some word on.
+
+    Documents without an id are searched as they are.
+    """
+    h = zlib.crc32(str(doc).encode())
+    if doc is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    block = words[a : a + 1 + (n - a) // (3 + g % 8)]
+    return words[:a] + (block * (1 + (n - a) // len(block)))[: n - a]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(documents(spark, sf_dir), shortest=6, times=4, rewrite=repeat_tail)
+    best = periodic_runs.strongest(F.col("runs"))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.listing(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -81,5 +108,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe_tree,
         op9_license_scan,
         op10_token_counts,
+        op13_periodic_runs,
     )
 }
