@@ -167,3 +167,50 @@ LLM_ORACLE["op13_periodic_runs"] = (
     FROM spans LEFT JOIN listed USING (r) LEFT JOIN collapsed c USING (r)
 """
 )
+
+LLM_ORACLE["op11_phrase_collocations"] = r"""
+    WITH pieces AS (
+        SELECT row_number() OVER () AS p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+        FROM (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents)
+    ), placed AS (
+        SELECT p, lang, len(w) AS size, w, unnest(range(len(w))) AS i FROM pieces
+    ), grams AS (
+        SELECT lang, k, w[i + 1 : i + k] AS g FROM placed, (SELECT unnest(range(1, 6)) AS k) WHERE i + k <= size
+    ), counted AS (
+        SELECT lang, k, g, count(*) AS f FROM grams GROUP BY lang, k, g HAVING count(*) >= 100
+    ), totals AS (
+        SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang
+    ), inside AS (
+        SELECT lang, part, max(f) AS f
+        FROM (
+            SELECT lang, f, unnest(flatten(list_transform(range(2, k), lambda size: list_transform(
+                       range(1, k - size + 2), lambda s: g[s : s + size - 1])))) AS part
+            FROM counted WHERE k > 2)
+        GROUP BY lang, part
+    ), alone AS (
+        SELECT c.lang, c.k, c.g, c.f AS a, n
+        FROM counted c JOIN totals USING (lang) LEFT JOIN inside s ON s.lang = c.lang AND s.part = c.g
+        WHERE c.k >= 2 AND coalesce(s.f, 0) < c.f
+    ), cuts AS (
+        SELECT *, unnest(range(1, k)) AS cutpos FROM alone
+    ), scored AS (
+        SELECT c.lang, c.g, c.a, c.n, c.cutpos, x.f AS l, y.f AS r,
+               ((1000::HUGEINT * c.a * c.n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+        FROM cuts c
+        JOIN counted x ON x.lang = c.lang AND x.g = c.g[1 : cutpos]
+        JOIN counted y ON y.lang = c.lang AND y.g = c.g[cutpos + 1 : c.k]
+    ), best AS (
+        SELECT lang, array_to_string(g, ' ') AS phrase, a, n,
+               arg_min({'l': l, 'r': r, 'score': score}, (score, cutpos)) AS cut
+        FROM scored GROUP BY lang, g, a, n
+    ), ranked AS (
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY cut.score DESC, a DESC, phrase) AS rank,
+               phrase, a, cut.l AS l, cut.r AS r, n, cut.score AS score
+        FROM best
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_tree, exact_dedup, langid, licenses, line_dedup, minhash, packing, periodic_runs, rules
-from tidemart.llm import token_counts, toxicity
+from tidemart.llm import bpe_tree, collocations, exact_dedup, langid, licenses, line_dedup, minhash, packing
+from tidemart.llm import periodic_runs, rules, token_counts, toxicity
 from tidemart.llm.common import crc_bucket, documents
 
 
@@ -70,6 +70,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(documents(spark, sf_dir), least=100, longest=5).top(2000)
+
+
 def repeat_tail(doc: int | None, words: list[bytes]) -> list[bytes]:
     """The words that op13 searches: a tenth of the documents repeats a block of its own from some word on.
 
@@ -108,6 +112,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_bpe_tree,
         op9_license_scan,
         op10_token_counts,
+        op11_phrase_collocations,
         op13_periodic_runs,
     )
 }
