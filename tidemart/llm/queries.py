@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe_tree, collocations, exact_dedup, langid, licenses, line_dedup, minhash, packing
+from tidemart.llm import bpe_tree, collocations, exact_dedup, langid, licenses, line_dedup, minhash, mixing, packing
 from tidemart.llm import periodic_runs, rules, token_counts, toxicity
 from tidemart.llm.common import crc_bucket, documents
 
@@ -74,6 +74,16 @@ def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(documents(spark, sf_dir), least=100, longest=5).top(2000)
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets 1 to 8 fill the model's tables, bucket 9 trains its weights, bucket 0 is held out."""
+    docs, bucket = documents(spark, sf_dir), crc_bucket("doc_id", 10)
+    model, counts = mixing.fit(docs, bucket != 0, bucket == 9)
+    return mixing.score(docs, model, counts).select(
+        "doc_id", (bucket == 0).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score", "total_bits", "n_bytes", "bits_per_byte",
+    )
+
+
 def repeat_tail(doc: int | None, words: list[bytes]) -> list[bytes]:
     """The words that op13 searches: a tenth of the documents repeats a block of its own from some word on.
 
@@ -113,6 +123,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_license_scan,
         op10_token_counts,
         op11_phrase_collocations,
+        op12_lm_scoring,
         op13_periodic_runs,
     )
 }
