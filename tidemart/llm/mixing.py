@@ -33,6 +33,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +52,8 @@ SLOT_BITS = 22
 CHUNK = 1 << 16
 #: Words after which a text's weights learn; words of texts worked on together; words of one span.
 BLOCK = 64
-GROUP = 60_000
-SPAN = 60_000
+GROUP = 120_000
+SPAN = 16_000
 #: Distinct words that a task counts before it hands them on.
 TASK_WORDS = 300_000
 #: Step of the weights while they are tuned, and within a text.
@@ -116,7 +117,9 @@ def squash(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-_SQUASH = squash((np.arange(STEPS) - STEPS // 2 + 0.5) / 64).astype(np.float32)
+#: Steps in which mixed predictions are told apart, per unit of stretch.
+UNIT = 64
+_SQUASH = squash((np.arange(STEPS) - STEPS // 2 + 0.5) / UNIT).astype(np.float32)
 
 
 @dataclass
@@ -165,7 +168,7 @@ class Events:
         self.order0 = code.stretch[node]
         mixed = node.astype(np.uint64) * _NODE
         shift = np.uint64(64 - SLOT_BITS)
-        self.slots = [(((c[self.at] ^ mixed) * _HASH) >> shift).astype(np.int64) for c in contexts]
+        self.slots = [(((c[self.at] ^ mixed) * _HASH) >> shift).view(np.int64) for c in contexts]
 
 
 class Texts:
@@ -173,10 +176,13 @@ class Texts:
 
     def __init__(self, model: Model, texts: list[list[bytes]]):
         ids = model.ids
-        flat = [w for words in texts for w in (*words, END)]
+        flat: list[bytes] = []
+        for words in texts:
+            flat += words
+            flat.append(END)
         self.sizes = np.array([len(words) + 1 for words in texts])
         n = len(flat)
-        symbol = np.fromiter((ids.get(w, 0) for w in flat), np.int64, n)
+        symbol = np.fromiter(map(ids.get, flat, repeat(0)), np.int64, n)
         spelled = np.flatnonzero(symbol == 0)
         value = symbol.astype(np.uint64)
         value[spelled] = [zlib.crc32(flat[i]) + (1 << 32) for i in spelled.tolist()]
@@ -187,6 +193,7 @@ class Texts:
         earlier = np.where(place > 1, np.roll(value, 2), none)
         one = (before + np.uint64(1)) * _HASH
         two = (one ^ (earlier + np.uint64(7))) * _HASH
+        self.spelled, self.ends = spelled, np.cumsum(self.sizes)
         # Blocks of all texts in turn: first blocks first.
         block = place // BLOCK
         self.order = np.argsort(block, kind="stable")
@@ -204,6 +211,12 @@ class Texts:
                 low = a
         yield low, int(self.edges[-1])
 
+    def spelled_words(self) -> list[Counter]:
+        """Per text how often each of its spelled words stands in it."""
+        cuts = np.searchsorted(self.spelled, self.ends).tolist()
+        words = [self.flat[i] for i in self.spelled.tolist()]
+        return [Counter(words[a:b]) for a, b in zip([0, *cuts], cuts)]
+
     def word_events(self, model: Model, low: int, high: int) -> Events:
         return Events(model.words, self.symbol[low:high], [c[low:high] for c in self.contexts])
 
@@ -339,7 +352,8 @@ class Mixer:
 
     def __init__(self, model: Model, texts: int, rate: float):
         self.model, self.rate, self.texts = model, np.float32(rate), texts
-        self.weights = [np.tile(model.weights[:, i], texts).astype(np.float32) for i in range(INPUTS)]
+        # Weights are held times UNIT, so that their sum with the inputs counts steps.
+        self.weights = [np.tile(UNIT * model.weights[:, i], texts).astype(np.float32) for i in range(INPUTS)]
         self.cost = None
         if model.corrected is not None:
             p = np.clip(model.corrected, 1 / 4096, 1 - 1 / 4096)
@@ -353,15 +367,18 @@ class Mixer:
     def block(self, inputs: list[np.ndarray], gate: np.ndarray, text: np.ndarray, bit: np.ndarray) -> np.ndarray:
         """Mixed predictions of one block's bits as steps 0..STEPS-1; the weights learn from them."""
         key = text * GATES + gate
-        total = self.weights[3][key] * _BIAS
+        total = self.weights[3][key]
+        total *= _BIAS
+        total += np.float32(STEPS // 2)
         for w, s in zip(self.weights, inputs):
             total += w[key] * s
-        step = np.clip(total * np.float32(64) + np.float32(STEPS // 2), 0, STEPS - 1).astype(np.int64)
+        step = np.minimum(np.maximum(total, 0), STEPS - 1).astype(np.int64)
         error = bit - _SQUASH[step]
         cells = self.texts * GATES
-        pace = self.rate / np.maximum(np.bincount(key, minlength=cells), 16)
-        for w, s in zip(self.weights, [*inputs, None]):
-            w += pace * np.bincount(key, error * (_BIAS if s is None else s), cells)
+        pace = UNIT * self.rate / np.maximum(np.bincount(key, minlength=cells), 16)
+        for w, s in zip(self.weights, inputs):
+            w += pace * np.bincount(key, error * s, cells)
+        self.weights[3] += pace * _BIAS * np.bincount(key, error, cells)
         return step
 
     def run(self, texts: Texts, own: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -399,7 +416,7 @@ def _tune(docs: DataFrame, model: Model) -> Model:
                 cell = gate * COARSE + step // (STEPS // COARSE)
                 seen += np.bincount(2 * cell + bit, minlength=2 * GATES * COARSE).reshape(-1, 2)
         per_gate = seen.reshape(GATES, -1).sum(1)
-        values = np.concatenate([per_gate, *(w * per_gate for w in mixer.weights), seen.reshape(-1)])
+        values = np.concatenate([per_gate, *(w * per_gate / UNIT for w in mixer.weights), seen.reshape(-1)])
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(len(values))), pa.array(values, pa.float64())], names=["at", "value"]
         )
@@ -463,8 +480,10 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text")
                 bits += np.bincount(at, mixer.cost[2 * (gate * STEPS + step) + bit], n)
             has = (texts.symbol > 0) & (plain.counts[texts.symbol] > 0)
             base = np.bincount(texts.text, np.where(texts.symbol > 0, of_symbol[texts.symbol], 0), n)
-            ids = plain.ids
-            rare = [[{"word": w, "m": m} for w, m in Counter(x for x in words if x not in ids).items()] for _, _, words in group]
+            rare = texts.spelled_words()
+            words = pa.array([w for found in rare for w in found], pa.binary())
+            times = pa.array([m for found in rare for m in found.values()], pa.int64())
+            edges = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([row for row, _, _ in group], pa.int64()),
@@ -474,7 +493,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text")
                     pa.array(base, pa.float64()),
                     pa.array(bits, pa.float64()),
                     pa.array(texts.bytes, pa.int64()),
-                    pa.array(rare, pa.list_(pa.struct([("word", pa.binary()), ("m", pa.int64())]))),
+                    pa.ListArray.from_arrays(edges, pa.StructArray.from_arrays([words, times], names=["word", "m"])),
                 ],
                 names=["row", "doc_id", "n_tokens", "known", "base", "total_bits", "n_bytes", "rare"],
             )
