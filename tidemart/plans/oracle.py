@@ -932,3 +932,42 @@ from spans group by window_start""")
 _query("stream_latest_stock", ("walk",), """
 select product_id, warehouse_id, arg_max(quantity_after, rn) as quantity_after, max("timestamp") as as_of
 from walk group by product_id, warehouse_id""")
+_query("stream_quarantine_records", ("click_codes",), """
+select cast(event_id as varchar) as event_id, cast(user_id as varchar) as user_id,
+       md5(cast(event_id as varchar)) as session_id, ts as "timestamp",
+       case event_type when 'view' then 'product_view' when 'click' then 'add_to_cart'
+         when 'purchase' then 'checkout_complete' else event_type end as event_type,
+       'https://shop.example/toys/' || json_extract_string(props, '$.k') as page_url,
+       case when "value" >= 5 then 'Springfield' end as city, ts as source_timestamp
+from events join click_codes using (event_id) where violations = '' and event_id % 50 not in (7, 8)""")
+_query("stream_quarantine_rejects", ("click_codes",), """
+select case when event_id % 50 <> 7 then cast(event_id as varchar) end as event_id,
+       case when event_id % 50 = 7
+            then substr('{"event_id":"' || event_id || '","user_id":"' || user_id || '","session_id":', 1, 30)
+       end as payload,
+       case event_id % 50 when 7 then 'not_json'
+            when 8 then array_to_string(list_sort(list_filter(string_split(violations, ',')
+                          || ['event_id:missing', 'id:unexpected'], lambda x: x <> '')), ',')
+            else violations end as violations,
+       ts as source_timestamp
+from events join click_codes using (event_id) where violations <> '' or event_id % 50 in (7, 8)""")
+_query("stream_late_ledger", (), """
+with parted as (
+  select ts, least(floor(event_id * 5 / ((select max(event_id) from events) + 1))
+                   + case when event_id % 89 = 0 then 2 else 0 end, 4) as batch_id from events),
+ends as (select batch_id, max(ts) as last from parted group by batch_id),
+marks as (
+  select batch_id, max(last) over (order by batch_id) as newest_event,
+         max(last) over (order by batch_id rows between unbounded preceding and 1 preceding) - interval 1 hour
+           as watermark from ends),
+counted as (
+  select batch_id, count(*) as rows, count(*) filter (where ts <= watermark) as late_rows,
+         any_value(watermark) as watermark, any_value(newest_event) as newest_event
+  from parted join marks using (batch_id) group by batch_id)
+select cast(batch_id as bigint) as batch_id, rows, late_rows,
+       cast(sum(rows) over (order by batch_id) as bigint) as total_rows,
+       cast(sum(late_rows) over (order by batch_id) as bigint) as total_late_rows, watermark, newest_event
+from counted""")
+_query("stream_stock_compacted", ("walk",), """
+select product_id, warehouse_id, arg_max(quantity_after, rn) as quantity_after, max("timestamp") as as_of
+from walk group by product_id, warehouse_id""")

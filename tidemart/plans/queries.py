@@ -19,7 +19,7 @@ from tidemart.plans.gold import build_gold
 from tidemart.session import configure, cut_lineage, fresh_dir
 from tidemart.sources import catalog, sinks, supplied
 from tidemart.sources.catalog import Tables
-from tidemart.streaming import ingest, stateful
+from tidemart.streaming import compaction, ingest, late, quarantine, stateful
 from tidemart import schemas
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1127,3 +1127,81 @@ def stream_latest_stock(s: Shop) -> DataFrame:
     )
     ingest.drain(stateful.write_updates(updates, f"{base}/table", f"{base}/checkpoint", AVAILABLE_NOW))
     return stateful.read_newest(s.spark, f"{base}/table", keys)
+
+
+def _damaged(clicks: DataFrame) -> DataFrame:
+    """Clickstream records of which one in fifty is cut off and one in fifty has lost its key."""
+    step = F.col("event_id") % 50
+    return clicks.withColumn(
+        "value",
+        F.when(step == 7, F.substring("value", 1, 30))
+        .when(step == 8, F.replace("value", F.lit('"event_id"'), F.lit('"id"')))
+        .otherwise(F.col("value")),
+    )
+
+
+def _checked_feed(s: Shop) -> str:
+    """Damaged clickstream records through the checked ingestion stream; the folder of its tables."""
+    base = fresh_dir(s.spark, "checked")
+    raw = _damaged(click_event_json(StreamShop(s, "events"))).drop("event_id")
+    feed = ingest.Feed("clickstream", raw, schemas.CLICKSTREAM, contracts.CLICKSTREAM)
+    for writing in ingest.start_feeds([feed], f"{base}/bronze", f"{base}/checkpoint", AVAILABLE_NOW):
+        ingest.drain(writing)
+    return f"{base}/bronze/clickstream"
+
+
+@query
+def stream_quarantine_records(s: Shop) -> DataFrame:
+    """The good records of a stream with malformed, wrong and good ones."""
+    records = quarantine.read_records(s.spark, _checked_feed(s), schemas.CLICKSTREAM)
+    return records.select(
+        "event_id", "user_id", "session_id", "timestamp", "event_type", "page_url", "city", "source_timestamp"
+    )
+
+
+@query
+def stream_quarantine_rejects(s: Shop) -> DataFrame:
+    """The other records of the same stream: reasons, and the payload of those that are not JSON."""
+    rejects = quarantine.read_quarantine(s.spark, _checked_feed(s))
+    malformed = F.array_contains("violations", "not_json")
+    return rejects.select(
+        F.coalesce(F.get_json_object("value", "$.event_id"), F.get_json_object("value", "$.id")).alias("event_id"),
+        F.when(malformed, F.col("value")).alias("payload"),
+        F.array_join(F.array_sort("violations"), ",").alias("violations"),
+        "source_timestamp",
+    )
+
+
+LATE_PARTS = 5
+
+
+@query
+def stream_late_ledger(s: Shop) -> DataFrame:
+    """Events arriving in parts, some of them two parts late; the stream is stopped after every part."""
+    base = fresh_dir(s.spark, "late")
+    events = s.clickstream.select("event_id", "user_id", "timestamp", "event_type")
+    last = s.tables.events.agg(F.max("event_id")).scalar()
+    part = F.floor(F.col("event_id") * LATE_PARTS / (last + 1)) + F.when(F.col("event_id") % 89 == 0, 2).otherwise(0)
+    parts = events.withColumn("part", F.least(part, F.lit(LATE_PARTS - 1)))
+    for number in range(LATE_PARTS):
+        parts.filter(F.col("part") == number).drop("part").write.mode("append").parquet(f"{base}/events")
+        arriving = ingest.file_stream(s.spark, f"{base}/events", events.schema)
+        ingest.drain(
+            late.write_on_time(arriving, "timestamp", "1 hour", f"{base}/table", f"{base}/checkpoint", AVAILABLE_NOW)
+        )
+    return late.late_ledger(s.spark, f"{base}/table").drop("query")
+
+
+@query
+def stream_stock_compacted(s: Shop) -> DataFrame:
+    """stream_latest_stock in several micro-batches, whose updates are compacted."""
+    base = fresh_dir(s.spark, "stock")
+    order, keys = [*supplied.MOVEMENT_ORDER], list(inventory.KEYS)
+    events = s.ledger.select(*keys, *order, "quantity_after")
+    events.repartition(6).write.parquet(f"{base}/events")
+    arriving = ingest.file_stream(s.spark, f"{base}/events", events.schema, max_files=1)
+    updates = stateful.stock_changes(arriving, keys, order, "quantity_after")
+    ingest.drain(
+        compaction.write_compacted(updates, f"{base}/table", f"{base}/checkpoint", AVAILABLE_NOW, keys, every=4)
+    )
+    return compaction.read_compacted(s.spark, f"{base}/table", keys)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.operators.contracts import Rule, split_valid, validate
+from tidemart.streaming.quarantine import write_checked
 
 # Kafka reader defaults, trigger, partition column.
 KAFKA_DEFAULTS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
@@ -98,27 +99,30 @@ def write_stream(
 
 @dataclass(frozen=True)
 class Feed:
-    """One topic: its raw stream and payload schema."""
+    """One topic: its raw stream, payload schema and, to keep bad records, its contract."""
 
     label: str
     raw: DataFrame
     schema: T.StructType
+    contract: dict[str, Rule] | None = None
 
 
 def start_feeds(
     feeds: list[Feed], bronze_root: str, checkpoint_root: str, trigger: dict | None = None
 ) -> list[StreamingQuery]:
-    """One independent query per feed, each with its own table and checkpoint."""
-    return [
-        write_stream(
-            parse_and_enrich(feed.raw, feed.schema),
-            f"{bronze_root}/{feed.label}",
-            f"{checkpoint_root}/{feed.label}",
-            feed.label,
-            trigger,
-        )
-        for feed in feeds
-    ]
+    """One independent query per feed, each with its own table and checkpoint.
+
+    A feed with a contract keeps its bad records in a quarantine beside the table.
+    """
+
+    def start(feed: Feed) -> StreamingQuery:
+        table, checkpoint = f"{bronze_root}/{feed.label}", f"{checkpoint_root}/{feed.label}"
+        if feed.contract is not None:
+            every = trigger or {"processingTime": TRIGGER}
+            return write_checked(feed.raw, feed.schema, feed.contract, table, checkpoint, feed.label, every)
+        return write_stream(parse_and_enrich(feed.raw, feed.schema), table, checkpoint, feed.label, trigger)
+
+    return [start(feed) for feed in feeds]
 
 
 def run_until_stopped(spark: SparkSession, queries: list[StreamingQuery]) -> None:
