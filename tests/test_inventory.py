@@ -97,3 +97,14 @@ def test_item_lines(spark):
     raw = spark.createDataFrame([("o", "u") + (None,) * 2 + (items,) + (None,) * 9], ORDERS)
     got = pricing.item_lines(raw).collect()
     assert [(r.unit_price, r.quantity, r.discount_pct) for r in got] == [(D("1.50"), 2, D("0.10")), (D("4.00"), 1, D("0.00"))]
+
+
+@pytest.mark.parametrize("fine", [False, True])
+def test_closing_stock_without_the_ledger(spark, fine):
+    chunk = _fine() if fine else None
+    moves = spark.createDataFrame(_moves(500, [1, 2, 3, 4], 5), COLUMNS).repartition(4)
+    ledger = inventory.stock_ledger(moves, ORDER, chunk=chunk)
+    wanted = inventory.daily_snapshot(ledger, ORDER)
+    found = inventory.daily_closing_stock(moves, ORDER, chunk=chunk)
+    assert found.dtypes == wanted.dtypes
+    assert sorted(found.collect()) == sorted(wanted.collect())

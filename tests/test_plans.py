@@ -80,3 +80,29 @@ def test_user_window_sees_cells_only(spark):
     lines = _plan(sessions.sessionize_by_gap(events, 60)).splitlines()
     window = max(i for i, line in enumerate(lines) if "Window" in line)
     assert any("Aggregate(key" in line and "cell" in line for line in lines[window:])
+
+
+@pytest.mark.parametrize("name", ["kpi_active_sessions", "kpi_conversion_today"])
+def test_session_figures_read_recent_events_only(spark, sf_dir, name):
+    """The lower bound, known when the query runs, is a condition on the stored column at the scan."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = _plan(QUERIES[name](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [x for x in plan.splitlines() if "FileScan" in x and "user_id" in x]
+    assert scans and all("ts#" in re.search(r"DataFilters: \[(.*?)\]", x)[1] and ">=" in x for x in scans)
+
+
+def test_daily_stock_needs_no_ledger(spark, sf_dir):
+    plan = _plan(QUERIES["inventory_snapshot"](spark, sf_dir))
+    assert "SortAggregate" not in plan and "Join" not in plan
+
+
+def test_continuity_takes_closing_rows_from_its_window(spark):
+    rows = spark.range(10).select(
+        F.lit(1).alias("product_id"), F.lit("WH1").alias("warehouse_id"), F.timestamp_seconds("id").alias("timestamp"),
+        "id", F.col("id").alias("quantity_before"), F.col("id").alias("quantity_after"),
+    )
+    plan = _plan(inventory.broken_links(rows, ["timestamp", "id"]))
+    assert "Aggregate" not in plan

@@ -97,3 +97,36 @@ def test_lift_and_groups(spark):
     assert set(got) == {"a7", "a8"}
     assert got["a7"].group == "control" and got["a8"].group == "treatment"
     assert got["a7"].converted is False and got["a7"].duration_seconds == 120
+
+
+def test_sessions_of_a_window_come_from_the_events_around_it(spark):
+    rnd = random.Random(4)
+    gap, rows, moment = 600, [], {1: START, 2: START, 3: START}
+    for i in range(600):
+        user = rnd.choice([1, 1, 2, 3])
+        moment[user] += dt.timedelta(seconds=rnd.choice([5, 300, 599, 600, 601, 3000]))
+        rows.append((i, user, moment[user], "page_view", "mobile", "X"))
+    # A user who never pauses: the session lasts far beyond every window.
+    rows += [(1000 + i, 9, START + dt.timedelta(seconds=500 * i), "page_view", "mobile", "X") for i in range(200)]
+    events = _events(spark, rows)
+    whole = sessions.sessionize_by_gap(events, gap).collect()
+    for hours in ((0, 1), (3, 5), (400, 401)):
+        low, high = (START + dt.timedelta(hours=h) for h in hours)
+        found = sessions.sessions_started_between(events, low, high, gap)
+        assert sorted(found.collect()) == sorted(r for r in whole if low <= r.start_time < high)
+
+
+def test_a_window_of_sessions_reads_a_window_of_events(spark, tmp_path):
+    rows = [(i, 1, START + dt.timedelta(days=i), "page_view", "m", "X") for i in range(30)]
+    _events(spark, rows).write.parquet(f"{tmp_path}/e")
+    found = sessions.sessions_started_between(
+        spark.read.parquet(f"{tmp_path}/e"), START + dt.timedelta(days=7), START + dt.timedelta(days=8), 3600
+    )
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(timestamp,2025-01-07 23:00:00" in plan
+    assert "LessThan(timestamp,2025-01-09 01:00:00" in plan
+    assert [r.start_time for r in found.collect()] == [START + dt.timedelta(days=7)]

@@ -98,6 +98,43 @@ def daily_snapshot(
     )
 
 
+def daily_closing_stock(
+    movements: DataFrame,
+    order: Sequence[str],
+    timestamp: str = "timestamp",
+    change: str = "quantity_change",
+    opening: int = OPENING_STOCK,
+    chunk: Sequence[Column] | None = None,
+) -> DataFrame:
+    """daily_snapshot(stock_ledger(...)) without the ledger: one row per chunk is all that a day needs.
+
+    Movements are read once and reduced to their chunks' sums and lows; levels are
+    taken at chunk ends only, and a day's last chunk is seen from the next one.
+    """
+    rows, cuts = _chunked(movements, timestamp, chunk)
+    rows = rows.withColumn("snapshot_date", F.col(timestamp).cast("date"))
+    days = ["snapshot_date", *cuts]
+    inside = W.partitionBy(*KEYS, *days).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    per_chunk = (
+        rows.select(*KEYS, *days, F.col(change).alias("__change"), F.sum(change).over(inside).alias("__sum"))
+        .groupBy(*KEYS, *days)
+        .agg(F.sum("__change").alias("__total"), F.min("__sum").alias("__low"), F.count(F.lit(1)).alias("__events"))
+    )
+    in_time = W.partitionBy(*KEYS).orderBy(*days)
+    through = in_time.rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = (
+        per_chunk.withColumn("__through", F.sum("__total").over(through))
+        .withColumn("__lowest", F.min(F.col("__through") - F.col("__total") + F.col("__low")).over(through))
+        .withColumn("__next_day", F.lead("snapshot_date").over(in_time))
+        .withColumn("__events", F.sum("__events").over(W.partitionBy(*KEYS, "snapshot_date")))
+    )
+    level = F.lit(opening) + F.col("__through") - F.least(F.lit(0), F.lit(opening) + F.col("__lowest"))
+    day_ends = F.col("__next_day").isNull() | (F.col("__next_day") > F.col("snapshot_date"))
+    return running.filter(day_ends).select(
+        *KEYS, "snapshot_date", level.cast("bigint").alias("quantity"), F.col("__events").alias("event_count")
+    )
+
+
 def latest_stock(ledger: DataFrame, order: Sequence[str], timestamp: str = "timestamp") -> DataFrame:
     """Current stock per product and warehouse."""
     return ledger.groupBy(*KEYS).agg(
@@ -119,13 +156,15 @@ def broken_links(
     """
     rows, cuts = _chunked(ledger, timestamp, chunk)
     inside = W.partitionBy(*KEYS, *cuts).orderBy(*order)
-    local = rows.withColumn("__prev", F.lag("quantity_after").over(inside)).withColumn(
-        "__first", F.row_number().over(inside) == 1
+    local = (
+        rows.withColumn("__prev", F.lag("quantity_after").over(inside))
+        .withColumn("__first", F.row_number().over(inside) == 1)
+        .withColumn("__last", F.lead(F.lit(True), 1, False).over(inside) == F.lit(False))
     )
+    # A chunk's last row is known from the window that is there already.
     closing = (
-        rows.groupBy(*KEYS, *cuts)
-        .agg(F.max_by("quantity_after", F.struct(*order)).alias("__closing"))
-        .withColumn("__opening", F.lag("__closing").over(W.partitionBy(*KEYS).orderBy(*cuts)))
+        local.filter("__last")
+        .withColumn("__opening", F.lag("quantity_after").over(W.partitionBy(*KEYS).orderBy(*cuts)))
         .select(*KEYS, *cuts, "__opening")
     )
     expected = F.when(F.col("__first"), F.col("__opening")).otherwise(F.col("__prev"))

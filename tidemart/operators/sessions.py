@@ -11,6 +11,8 @@ go through the per-user window.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -120,6 +122,28 @@ def sessionize_by_gap(
     return _finish(merged)
 
 
+def sessions_started_between(
+    events: DataFrame, low: dt.datetime, high: dt.datetime, gap_seconds: int, timestamp: str = "timestamp"
+) -> DataFrame:
+    """The sessions of sessionize_by_gap that start in [low, high), from the events around it only.
+
+    Whether an event opens a session depends on one gap before it, so events from
+    low - gap on are enough.  Sessions may last beyond high: the upper end grows,
+    twice as far each time, until no session that started in time is still open.
+    """
+    gap = dt.timedelta(seconds=gap_seconds)
+    reach = gap
+    while True:
+        near = (F.col(timestamp) >= F.lit(low - gap)) & (F.col(timestamp) < F.lit(high + reach))
+        found = sessionize_by_gap(events.filter(near), gap_seconds, timestamp).filter(
+            (F.col("start_time") >= F.lit(low)) & (F.col("start_time") < F.lit(high))
+        )
+        # A pause of exactly one gap does not end a session.
+        if found.filter(F.col("end_time") >= F.lit(high + reach - gap)).isEmpty():
+            return found
+        reach *= 2
+
+
 def funnel_progress(events: DataFrame) -> DataFrame:
     """Furthest funnel step each session reached."""
     steps = F.array(*[F.lit(s) for s in FUNNEL_STEPS])

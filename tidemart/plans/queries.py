@@ -529,15 +529,42 @@ def kpi_revenue_today(s: Shop) -> DataFrame:
     return kpis.revenue_today(s.headers, F.date_sub(s.as_of, 1))
 
 
+def _sessions_since(s: Shop, first: DataFrame) -> DataFrame:
+    """Staged sessions of the events from a moment (one row, as the events store it) on.
+
+    The condition is on the stored column, so it reaches the scan.
+    """
+    recent = _Recent(s.spark, s.root, first)
+    return staging.stg_sessions(session_ops.sessionize_by_gap(supplied.clickstream(recent), supplied.SESSION_GAP_SECONDS))
+
+
+class _Recent(Tables):
+    """The tables with no events before a moment."""
+
+    def __init__(self, spark: SparkSession, root: str, first: DataFrame):
+        super().__init__(spark, root)
+        self._first = first
+
+    def __getitem__(self, name: str) -> DataFrame:
+        table = super().__getitem__(name)
+        return table.filter(F.col("ts") >= self._first.scalar()) if name == "events" else table
+
+
 @query
 def kpi_active_sessions(s: Shop) -> DataFrame:
+    """Events are read from one session gap before the hour on: earlier ones start no session in it."""
     now = s.tables.events.agg(F.max(F.col("ts").cast("timestamp"))).scalar()
-    return kpis.active_sessions(s.stg_sessions, now)
+    newest = s.tables.events.agg(F.max("ts") - F.expr(f"INTERVAL {3600 + supplied.SESSION_GAP_SECONDS} SECONDS"))
+    return kpis.active_sessions(_sessions_since(s, newest), now)
 
 
 @query
 def kpi_conversion_today(s: Shop) -> DataFrame:
-    return kpis.conversion_today(s.stg_sessions, F.date_sub(s.events_as_of, 1))
+    """Events are read from one session gap before the last day on."""
+    midnight = s.tables.events.agg(
+        F.date_trunc("day", F.max("ts")).cast("timestamp_ntz") - F.expr(f"INTERVAL {supplied.SESSION_GAP_SECONDS} SECONDS")
+    )
+    return kpis.conversion_today(_sessions_since(s, midnight), F.date_sub(s.events_as_of, 1))
 
 
 @query
@@ -858,7 +885,9 @@ def inventory_ledger(s: Shop) -> DataFrame:
 
 @query
 def inventory_snapshot(s: Shop) -> DataFrame:
-    return inventory.daily_snapshot(s.ledger, supplied.MOVEMENT_ORDER)
+    return inventory.daily_closing_stock(
+        supplied.movements(s.tables), supplied.MOVEMENT_ORDER, chunk=supplied.movement_chunk()
+    )
 
 
 @query
