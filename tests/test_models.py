@@ -1,6 +1,7 @@
 """Churn and demand models on seeded data: ranges and row counts."""
 
 import datetime as dt
+import hashlib
 import random
 
 import pytest
@@ -86,3 +87,33 @@ def test_demand_forecast_without_model(spark):
     daily = spark.createDataFrame([(dt.date(2025, 1, 1), 4)], "order_date date, total_orders long")
     rows = models.forecast_demand(daily, dt.date(2025, 1, 1), None, days_ahead=2).collect()
     assert [r.predicted_orders for r in rows] == [4.0, 4.0]
+
+
+def test_split_is_exact_in_every_class(spark):
+    rows = spark.createDataFrame([(i, 1.0 if i % 7 == 0 else 0.0) for i in range(203)], "user_id long, label double")
+    train, test = models.stratified_split(rows.repartition(5), "user_id")
+    held = {label: sorted(r.user_id for r in test.filter(F.col("label") == label).collect()) for label in (0.0, 1.0)}
+    assert (len(held[1.0]), len(held[0.0])) == (6, 35)  # 29 and 174 rows, a fifth of each to the nearest row
+
+    def digest(i):
+        return hashlib.md5(f"42|{i}".encode()).hexdigest()
+
+    assert held[1.0] == sorted(sorted((i for i in range(203) if i % 7 == 0), key=digest)[:6])
+    assert sorted(r.user_id for r in train.union(test).collect()) == list(range(203))
+    assert models.stratified_split(rows.limit(0), "user_id")[1].count() == 0
+
+
+def test_curves_of_all_models_in_one_pass(spark):
+    rnd = random.Random(6)
+    rows = [(m, float(rnd.random() < 0.4), rnd.choice([0.1, 0.2, 0.5, 0.9])) for m in "abc" for _ in range(60)]
+    rows += [("d", 1.0, 0.3), ("d", 1.0, 0.4)]  # no negatives
+    scores = spark.createDataFrame(rows, "model string, label double, score double")
+    found = {r.model: r.auc for r in models.areas(scores).collect()}
+    for model in "abc":
+        own = [(label, score) for m, label, score in rows if m == model]
+        pairs = [(p, n) for one, p in own if one for zero, n in own if not zero]
+        assert found[model] == pytest.approx(sum((p > n) + (p == n) / 2 for p, n in pairs) / len(pairs))
+        points = models.roc_curves(scores.filter(F.col("model") == model)).collect()
+        together = models.roc_curves(scores).filter(F.col("model") == model).collect()
+        assert sorted(points) == sorted(together) and max(p.tpr for p in points) == 1.0
+    assert found["d"] is None

@@ -1,6 +1,7 @@
 """Sessions, funnel steps and experiment groups."""
 
 import datetime as dt
+import math
 import random
 
 from pyspark.sql import functions as F
@@ -130,3 +131,11 @@ def test_a_window_of_sessions_reads_a_window_of_events(spark, tmp_path):
     assert "GreaterThanOrEqual(timestamp,2025-01-07 23:00:00" in plan
     assert "LessThan(timestamp,2025-01-09 01:00:00" in plan
     assert [r.start_time for r in found.collect()] == [START + dt.timedelta(days=7)]
+
+
+def test_error_function(spark):
+    places = [0.0, 1e-9, 0.1, 0.5, 1.0, 2.0, 2.9999, 3.0, 3.5, 5.0, 8.0, 20.0]
+    rows = spark.createDataFrame([(z,) for z in places], "z double").select("z", experiments.erfc(F.col("z")).alias("e"))
+    for row in rows.collect():
+        assert abs(row.e - math.erfc(row.z)) < 2e-15 and (row.z < 3 or abs(row.e / math.erfc(row.z) - 1) < 1e-12)
+    assert spark.createDataFrame([(None,)], "z double").select(experiments.erfc(F.col("z"))).first()[0] is None

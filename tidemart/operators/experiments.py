@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemart.functions.columns import AsOf, as_day
 from tidemart.functions.numeric import ratio, safe_pct
@@ -18,6 +16,7 @@ CONTROL_DIGITS = tuple("01234567")
 LOOKBACK_DAYS = 14
 DEFAULT_DURATION = 120
 SIGNIFICANCE = 0.05
+ERFC_TERMS = 80
 
 
 def assign_groups(sessions: DataFrame, as_of: AsOf, days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -88,16 +87,38 @@ def chi_squared(table: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.DoubleType())
-def chi2_upper_tail(statistic: pd.Series) -> pd.Series:
-    """P(X > x) for one degree of freedom; Spark SQL has no erfc."""
-    return statistic.map(lambda x: None if pd.isna(x) else math.erfc(math.sqrt(x / 2)))
+def erfc(z: Column, terms: int = ERFC_TERMS) -> Column:
+    """Complementary error function of a number from 0 on, as a column expression.
+
+    Below 3 by the series of erf, whose terms are all positive; from there on by the
+    continued fraction, evaluated from its end.  Right to 1e-15 (series, absolute) and
+    1e-13 (fraction, relative).
+    """
+    square = z * z
+    first = F.struct(z.alias("term"), z.alias("total"))
+
+    def add(state: Column, n: Column) -> Column:
+        term = state["term"] * (2 * square) / (2 * n + 1)
+        return F.struct(term.alias("term"), (state["total"] + term).alias("total"))
+
+    series = F.reduce(F.sequence(F.lit(1), F.lit(terms)), first, add, lambda state: state["total"])
+    near = F.lit(1.0) - F.lit(2 / math.sqrt(math.pi)) * F.exp(-square) * series
+    fraction = F.reduce(
+        F.sequence(F.lit(terms), F.lit(1), F.lit(-1)), F.lit(1.0), lambda rest, n: 1 + n / (2 * square) / rest
+    )
+    far = F.exp(-square) / (z * math.sqrt(math.pi)) / fraction
+    return F.when(z < 3, F.greatest(near, F.lit(0.0))).otherwise(far)
+
+
+def chi2_upper_tail(statistic: Column) -> Column:
+    """P(X > x) for one degree of freedom."""
+    return erfc(F.sqrt(statistic / 2))
 
 
 def significance(table: DataFrame, alpha: float = SIGNIFICANCE) -> DataFrame:
     """Statistic, p-value and verdict; the input is the one-row 2x2 table."""
     return (
         chi_squared(table)
-        .withColumn("p_value", chi2_upper_tail("chi2"))
+        .withColumn("p_value", chi2_upper_tail(F.col("chi2")))
         .withColumn("significant", F.col("p_value") < alpha)
     )

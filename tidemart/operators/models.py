@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.columns import AsOf, null_as_zero, with_one_row
 from tidemart.functions.numeric import non_negative, ratio
 from tidemart.operators import churn, demand
-from tidemart.operators.ranking import with_running_sums
+from tidemart.operators.ranking import with_global_rank, with_running_sums
 from tidemart.session import cut_lineage, fresh_dir
 
 SEED = 42
@@ -58,14 +59,20 @@ def require_rows(df: DataFrame, minimum: int) -> None:
 def stratified_split(
     df: DataFrame, key: str, label: str = "label", test_share: float = TEST_SHARE, seed: int = SEED
 ) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of the key and the class.
+    """Train and test rows: in every class exactly the share, to the nearest row (halves go up), is held out.
 
-    The hash is uniform within each class, so both classes are split at the same
-    share, and a row lands on the same side in every run on every cluster.
+    The rows of a class are ranked by a digest of seed and key, so a split is the same in
+    every run and on every cluster.  The order is one range sort over all classes; keys are
+    expected to be unique, rows of a repeated key may be split.
     """
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(label), F.col(key)), F.lit(10_000))
-    held_out = bucket < int(test_share * 10_000)
-    return df.filter(~held_out), df.filter(held_out)
+    digest = F.md5(F.concat_ws("|", F.lit(seed), F.col(key).cast("string")))
+    ranked = with_global_rank(df.withColumn("__digest", digest), [F.col(label), F.col("__digest"), F.col(key)], "__rank", "__n")
+    classes = ranked.groupBy(F.col(label).alias("__class")).agg(
+        (F.min("__rank") - 1).alias("__before"), F.floor(F.count(F.lit(1)) * test_share + 0.5).alias("__held")
+    )
+    placed = ranked.join(classes, F.col(label).eqNullSafe(F.col("__class")))
+    held_out = F.col("__rank") - F.col("__before") <= F.col("__held")
+    return tuple(placed.filter(side).select(*df.columns) for side in (~held_out, held_out))
 
 
 def _with_vector(columns: Sequence[str], estimator) -> Pipeline:
@@ -138,7 +145,7 @@ def best_model(metrics: DataFrame, by: str = "auc") -> DataFrame:
     return metrics.orderBy(F.desc(by), F.asc("model")).limit(1)
 
 
-def positive_score(scored: DataFrame) -> F.Column:
+def positive_score(scored: DataFrame | None = None) -> F.Column:
     return vector_to_array(F.col("probability"))[1]
 
 
@@ -162,8 +169,63 @@ def roc_points(scored: DataFrame) -> DataFrame:
     )
 
 
-def confusion(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("rows"))
+def scored_by_all(fitted: dict[str, PipelineModel], test: DataFrame) -> DataFrame:
+    """model, label and score of every test row under every model."""
+    parts = [
+        model.transform(test).select(F.lit(name).alias("model"), "label", positive_score().alias("score"))
+        for name, model in fitted.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _ranked_scores(scores: DataFrame) -> DataFrame:
+    """Per model and distinct score the rows so far, highest score first, and the model's totals.
+
+    Rows collapse to one per model and score; then all models are sorted and summed together,
+    and a model's sums start where those of the model before it end.
+    """
+    counts = scores.groupBy("model", "score").agg(
+        F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") == 0).alias("negatives")
+    )
+    running = with_running_sums(counts, [F.col("model"), F.desc("score")], {"__tp": "positives", "__fp": "negatives"})
+    totals = running.groupBy(F.col("model").alias("__model")).agg(
+        F.min(F.col("__tp") - F.col("positives")).alias("__tp0"),
+        F.min(F.col("__fp") - F.col("negatives")).alias("__fp0"),
+        F.sum("positives").alias("p"),
+        F.sum("negatives").alias("n"),
+    )
+    return running.join(totals, F.col("model") == F.col("__model")).select(
+        "model", "score", "positives", "negatives", "p", "n",
+        (F.col("__tp") - F.col("__tp0")).alias("tp"), (F.col("__fp") - F.col("__fp0")).alias("fp"),
+    )
+
+
+def roc_curves(scores: DataFrame) -> DataFrame:
+    """False and true positive rate of each model at each of its scores; input: model, label, score."""
+    return _ranked_scores(scores).select(
+        "model", "score", ratio("fp", "n").alias("fpr"), ratio("tp", "p").alias("tpr")
+    )
+
+
+def areas(scores: DataFrame) -> DataFrame:
+    """Area under each model's curve by trapezoids: a positive row counts the negatives scored below
+    it, and half of those that tie with it.  Null where a class is missing.
+    """
+    below = F.col("n") - F.col("fp") + F.col("negatives") / 2
+    return (
+        _ranked_scores(scores)
+        .groupBy("model", "p", "n")
+        .agg(F.sum(F.col("positives") * below).alias("__pairs"))
+        .select("model", ratio("__pairs", F.col("p") * F.col("n")).alias("auc"))
+    )
+
+
+def confusion(scored: DataFrame, *by: str) -> DataFrame:
+    return scored.groupBy(*by, "label", "prediction").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def has_importances(model: PipelineModel) -> bool:
+    return hasattr(model.stages[-1], "featureImportances")
 
 
 def importances(model: PipelineModel, columns: Sequence[str], spark: SparkSession) -> DataFrame:

@@ -971,3 +971,47 @@ from counted""")
 _query("stream_stock_compacted", ("walk",), """
 select product_id, warehouse_id, arg_max(quantity_after, rn) as quantity_after, max("timestamp") as as_of
 from walk group by product_id, warehouse_id""")
+
+# --- models: what does not depend on a fit -------------------------------------------------
+
+BLOCKS["labeled"] = (("churn",), """
+select user_id, cast(cast(label as integer) as double) as label,
+       coalesce(cast(days_since_last_order as double), 0) as days, coalesce(cast(total_orders as double), 0) as orders
+from churn where label is not null""")
+BLOCKS["ranked_scores"] = (("labeled",), """
+with s as (
+  select 'recency' as model, label, days / (days + 30) as score from labeled
+  union all select 'orders', label, 1 / (1 + orders) from labeled
+  union all select 'constant', label, 0.5::double from labeled),
+counts as (
+  select model, score, count(*) filter (where label = 1) as positives, count(*) filter (where label = 0) as negatives
+  from s group by model, score)
+select *, sum(positives) over so_far as tp, sum(negatives) over so_far as fp,
+       sum(positives) over (partition by model) as p, sum(negatives) over (partition by model) as n
+from counts window so_far as (partition by model order by score desc)""")
+_query("churn_split", ("labeled",), """
+select user_id, label,
+       row_number() over (partition by label order by md5('42|' || user_id), user_id)
+         <= floor(count(*) over (partition by label) * 0.2::double + 0.5::double) as held_out from labeled""")
+_query("roc_of_given_scores", ("ranked_scores",), f"""
+select model, {_round('score', 9)} as score, {_round('cast(fp as double) / nullif(n, 0)', 9)} as fpr,
+       {_round('cast(tp as double) / nullif(p, 0)', 9)} as tpr from ranked_scores""")
+_query("auc_of_given_scores", ("ranked_scores",), f"""
+with areas as (
+  select model, {_round('sum(positives * (n - fp + cast(negatives as double) / 2)) / nullif(any_value(p * n), 0)', 9)} as auc
+  from ranked_scores group by model),
+cut as (
+  select model, label, case when score >= 0.5 then 1.0::double else 0.0::double end as prediction, rows
+  from (select model, score, 1.0::double as label, positives as rows from ranked_scores
+        union all select model, score, 0.0::double, negatives from ranked_scores))
+select model, label, prediction, cast(sum(rows) as bigint) as rows, any_value(auc) as auc
+from cut join areas using (model) where rows > 0 group by model, label, prediction""")
+# The p-value by the series of erf, in logarithms; p is 1 - erf(sqrt(chi2 / 2)).
+ORACLE["ab_significance"] = f"""
+with tested as ({ORACLE["ab_chi2"]}),
+valued as (
+  select *, case when chi2 is null then null when chi2 = 0 then 1.0::double else 1 - 2 / sqrt(pi()) * exp(-chi2 / 2)
+           * list_sum(list_transform(range(0, 150), lambda k: exp((2 * k + 1) * ln(sqrt(chi2 / 2)) + 2 * k * ln(2)
+                                                                  + lgamma(k + 1) - lgamma(2 * k + 2)))) end as tail
+  from tested)
+select * exclude (tail), {_round('greatest(tail, 0)', 6)} as p_value, tail < 0.05 as significant from valued"""

@@ -787,7 +787,8 @@ def ab_chi2(s: Shop) -> DataFrame:
 
 @query
 def ab_significance(s: Shop) -> DataFrame:
-    return experiments.significance(experiments.contingency(s.assigned))
+    tested = experiments.significance(experiments.contingency(s.assigned))
+    return tested.withColumn("p_value", F.round("p_value", 6))
 
 
 @query
@@ -963,22 +964,66 @@ def churn_model_without_leak(s: Shop) -> DataFrame:
     return models.best_model(models.compare_churn_models(train, test, columns)[0])
 
 
+@query
+def churn_split(s: Shop) -> DataFrame:
+    """Which labeled users are held out for testing."""
+    rows = models.training_frame(s.churn_features, churn.FEATURES, "label", ["user_id"])
+    train, test = models.stratified_split(rows, "user_id")
+    sides = train.withColumn("held_out", F.lit(False)).unionByName(test.withColumn("held_out", F.lit(True)))
+    return sides.select("user_id", "label", "held_out")
+
+
 @query
 def churn_roc_curve(s: Shop) -> DataFrame:
+    """The curves of all models over the same test rows."""
     train, test = models.prepare_churn(s.churn_features)
-    return models.roc_points(models.fit_churn(train, "Random Forest").transform(test))
+    fitted = {name: models.fit_churn(train, name) for name in models.churn_estimators()}
+    return models.roc_curves(models.scored_by_all(fitted, test))
+
+
+def _given_scores(s: Shop) -> DataFrame:
+    """Three fixed scores of every labeled user, in the place of models."""
+    rows = models.training_frame(s.churn_features, churn.FEATURES, "label", ["user_id"])
+    scores = {
+        "recency": F.col("days_since_last_order") / (F.col("days_since_last_order") + 30),
+        "orders": 1 / (1 + F.col("total_orders")),
+        "constant": F.lit(0.5),
+    }
+    return rows.select(
+        "label", F.explode(F.array(*[F.struct(F.lit(n).alias("model"), x.alias("score")) for n, x in scores.items()])).alias("m")
+    ).select("m.model", "label", "m.score")
+
+
+@query
+def roc_of_given_scores(s: Shop) -> DataFrame:
+    curves = models.roc_curves(_given_scores(s))
+    return curves.select("model", *[F.round(c, 9).alias(c) for c in ("score", "fpr", "tpr")])
+
+
+@query
+def auc_of_given_scores(s: Shop) -> DataFrame:
+    """Area under each curve, and the confusion of a cut at one half."""
+    scores = _given_scores(s)
+    areas = models.areas(scores).select("model", F.round("auc", 9).alias("auc"))
+    cut = scores.withColumn("prediction", (F.col("score") >= 0.5).cast("double"))
+    return models.confusion(cut, "model").join(areas, "model")
 
 
 @query
 def churn_confusion(s: Shop) -> DataFrame:
+    """Confusion of the best model."""
     train, test = models.prepare_churn(s.churn_features)
-    return models.confusion(models.fit_churn(train, "Random Forest").transform(test))
+    metrics, fitted = models.compare_churn_models(train, test)
+    return models.confusion(fitted[models.best_model(metrics).first().model].transform(test))
 
 
 @query
 def churn_importances(s: Shop) -> DataFrame:
-    train, _ = models.prepare_churn(s.churn_features)
-    return models.importances(models.fit_churn(train, "Random Forest"), churn.FEATURES, s.spark)
+    """Importances in the best model that has them."""
+    train, test = models.prepare_churn(s.churn_features)
+    metrics, fitted = models.compare_churn_models(train, test)
+    with_importances = metrics.filter(F.col("model").isin([n for n, m in fitted.items() if models.has_importances(m)]))
+    return models.importances(fitted[models.best_model(with_importances).first().model], churn.FEATURES, s.spark)
 
 
 @query
