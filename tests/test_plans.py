@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.operators import inventory, kpis, sessions
+from tidemart.operators import inventory, kpis, quality, sessions
 from tidemart.plans.queries import QUERIES
 from tidemart.session import fresh_dir
 
@@ -106,3 +106,12 @@ def test_continuity_takes_closing_rows_from_its_window(spark):
     )
     plan = _plan(inventory.broken_links(rows, ["timestamp", "id"]))
     assert "Aggregate" not in plan
+
+
+def test_column_tests_read_each_table_once(spark, sf_dir, tmp_path):
+    names = {t for t, _ in quality.NOT_NULL}
+    columns = {t: [c for x, c in quality.NOT_NULL if x == t] for t in names}
+    for name, own in columns.items():
+        spark.range(5).select(*[F.col("id").alias(c) for c in own]).write.parquet(f"{tmp_path}/{name}")
+    tables = {name: spark.read.parquet(f"{tmp_path}/{name}") for name in names}
+    assert _plan(quality.column_tests(tables)).count("FileScan") == len(names)

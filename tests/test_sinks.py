@@ -141,3 +141,39 @@ def test_bronze_reader(spark):
         df.write.partitionBy("ingestion_date").parquet(f"{root}/{name}")
     assert silver.read_bronze(spark, root)["orders"].count() == 2
     assert silver.read_bronze(spark, root, since="2025-01-02")["inventory"].count() == 1
+
+
+def test_append_reads_only_the_parts_that_overlap(spark):
+    path = fresh_dir(spark, "t-ranges")
+
+    def add(low, high, note="x"):
+        rows = spark.createDataFrame([(i, note) for i in range(low, high)] + [(low, note), (None, note)], "id long, note string")
+        return sinks.append_new_by_range(rows, path, "id")
+
+    assert add(0, 10) == (10, [])
+    assert add(10, 20) == (10, [])  # ranges do not overlap: nothing is read
+    assert add(20, 30) == (10, [])
+    assert add(25, 35, "again") == (5, ["part=2"])
+    assert add(0, 10) == (0, ["part=0"])  # a re-run writes nothing
+    assert add(5, 27) == (0, ["part=0", "part=1", "part=2"])
+    stored = spark.read.schema("id long, note string").parquet(path)
+    assert sorted(r.id for r in stored.collect()) == list(range(35))
+    # A part whose range was never noted is read whatever the keys.
+    spark.createDataFrame([(99, "y")], "id long, note string").write.parquet(f"{path}/part=77")
+    assert add(99, 101) == (1, ["part=77"])
+    assert sinks.append_new_by_range(stored.limit(0), path, "id") == (0, [])
+
+
+def test_freshness_from_the_listing(spark):
+    path = fresh_dir(spark, "t-listed")
+    days = [(1, dt.date(2025, 1, 1)), (2, dt.date(2025, 1, 2))]
+    spark.createDataFrame(days, "id long, ingestion_date date").write.partitionBy("ingestion_date").parquet(path)
+    table = spark.read.parquet(path)
+    now = dt.datetime.now(dt.timezone.utc) + dt.timedelta(hours=1)
+    by_row = catalog.file_freshness({"t": table}, now).collect()
+    assert catalog.listed_freshness(spark, {"t": path}, now).collect() == by_row and by_row[0].is_fresh
+    newest = catalog.listed_freshness(spark, {"t": path}, now, partition="ingestion_date", max_age_hours=0.5)
+    assert [(r.table_name, r.is_fresh) for r in newest.collect()] == [("t", False)]
+    none = fresh_dir(spark, "t-none")
+    spark.createDataFrame([], "id long").write.partitionBy().parquet(none)
+    assert catalog.listed_freshness(spark, {"n": none}, now, pattern="*.none").collect()[0].is_fresh is False

@@ -8,6 +8,7 @@ import pytest
 from tidemart import schemas
 from tidemart.operators.contracts import INVENTORY
 from tidemart.session import fresh_dir
+from tidemart.sources import folders
 from tidemart.streaming import batches, compaction, ingest, late, quarantine
 
 NOW = {"availableNow": True}
@@ -139,9 +140,9 @@ def test_compacted_updates_equal_the_whole_history(spark):
         if batch in (0, 4, 5, 9, 14, 22):
             table = compaction.read_compacted(spark, path, ["product_id"])
             assert {r.product_id: r.quantity for r in table.collect()} == state
-            folders = {f.split("through=")[1].split("/")[0] + ("b" if "/base/" in f else "c") for f in table.inputFiles()}
-            assert len(folders) <= 2
-    kept = [batches.numbered_folders(spark, f"{path}/{kind}", "through") for kind in ("base", "changes")]
+            read = {f.split("through=")[1].split("/")[0] + ("b" if "/base/" in f else "c") for f in table.inputFiles()}
+            assert len(read) <= 2
+    kept = [folders.numbered_folders(spark, f"{path}/{kind}", "through") for kind in ("base", "changes")]
     assert sum(map(len, kept)) <= 5
 
 

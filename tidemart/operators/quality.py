@@ -90,6 +90,50 @@ def check_unique(tables: dict[str, DataFrame], keys: Sequence[tuple[str, str]])
     return reduce(DataFrame.unionByName, parts)
 
 
+def check_keys(
+    tables: dict[str, DataFrame], unique: Sequence[tuple[str, str]], filled: Sequence[tuple[str, str]]
+) -> DataFrame:
+    """Uniqueness and not-null rules of whole columns; one scan and one count per table.
+
+    Every row gives one (column, value) pair per column.  Values are counted, combined
+    map-side; a column that need not be unique gives no values, only whether it is null.
+    """
+    parts = []
+    for table in dict.fromkeys(t for t, _ in (*unique, *filled)):
+        keys = [c for t, c in unique if t == table]
+        columns = list(dict.fromkeys([*keys, *(c for t, c in filled if t == table)]))
+        pairs = [
+            F.struct(
+                F.lit(c).alias("column"),
+                (F.col(c).cast("string") if c in keys else F.when(F.col(c).isNotNull(), "")).alias("value"),
+            )
+            for c in columns
+        ]
+        counted = (
+            tables[table].select(F.explode(F.array(*pairs)).alias("p"))
+            .groupBy("p.column", "p.value")
+            .agg(F.count(F.lit(1)).alias("copies"))
+            .groupBy("column")
+            .agg(
+                F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("copies"))), F.lit(0)).alias("nulls"),
+                F.count_if(F.col("value").isNotNull() & (F.col("copies") > 1)).alias("repeated"),
+            )
+        )
+        rules = [(f"not_null:{c}", c, "nulls") for t, c in filled if t == table]
+        rules += [(f"unique:{c}", c, "repeated") for c in keys]
+        # An empty table has no pairs; its rules hold.
+        on_one_row = counted.agg(
+            *[
+                F.coalesce(F.max(F.when(F.col("column") == c, F.col(kind))), F.lit(0)).alias(f"c{i}")
+                for i, (_, c, kind) in enumerate(rules)
+            ]
+        )
+        named = [F.struct(F.lit(n).alias("name"), F.col(f"c{i}").alias("failing_rows")) for i, (n, _, _) in enumerate(rules)]
+        long = on_one_row.select(F.explode(F.array(*named)).alias("r")).select("r.name", "r.failing_rows")
+        parts.append(_verdict(long, F.col("name"), table))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def check_minimum_rows(tables: dict[str, DataFrame], minima: dict[str, int]) -> DataFrame:
     """Row minima; at most ``minimum`` rows of each table are read."""
     parts = []
@@ -129,8 +173,7 @@ MODEL_MINIMUM_ROWS = {"churn": 50, "demand": 30, "drift": 20}
 
 def column_tests(tables: dict[str, DataFrame]) -> DataFrame:
     """The generic unique and not-null tests on sources, staging and gold."""
-    rows = check_rows(tables, [not_null(t, c) for t, c in NOT_NULL])
-    return rows.unionByName(check_unique(tables, UNIQUE_KEYS))
+    return check_keys(tables, UNIQUE_KEYS, NOT_NULL)
 
 
 def silver_gate(tables: dict[str, DataFrame]) -> DataFrame:

@@ -101,14 +101,49 @@ def presence(tables: dict[str, DataFrame]) -> DataFrame:
 def file_freshness(
     tables: dict[str, DataFrame], now=None, max_age_hours: float = 2.0
 ) -> DataFrame:
-    """Age of the newest file of each file-backed table against a freshness limit."""
-    moment = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
+    """Age of the newest file of each file-backed table against a freshness limit.
+
+    Reads one row per record; listed_freshness reads one per file.
+    """
     newest = (
         df.agg(F.max("_metadata.file_modification_time").alias("newest_file")).select(
             F.lit(name).alias("table_name"), "newest_file"
         )
         for name, df in tables.items()
     )
+    return _aged(newest, now, max_age_hours)
+
+
+def listed_freshness(
+    spark: SparkSession,
+    paths: dict[str, str],
+    now=None,
+    max_age_hours: float = 2.0,
+    pattern: str = "*.parquet",
+    partition: str | None = None,
+) -> DataFrame:
+    """file_freshness from the listing of each table's folder: no file is opened.
+
+    With ``partition`` (a partition column that grows with time, as the ingestion date)
+    only the files of the newest value count and are listed as rows.  A folder without
+    files has no newest file and is not fresh.
+    """
+
+    def newest(name: str, path: str) -> DataFrame:
+        # The content column is not selected, so files are listed but not read.
+        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+        if partition:
+            latest = files.agg(F.max(partition)).scalar()
+            files = files.filter(F.col(partition) == latest)
+        return files.agg(F.max("modificationTime").alias("newest_file")).select(
+            F.lit(name).alias("table_name"), "newest_file"
+        )
+
+    return _aged((newest(name, path) for name, path in paths.items()), now, max_age_hours)
+
+
+def _aged(newest: Iterable[DataFrame], now, max_age_hours: float) -> DataFrame:
+    moment = F.current_timestamp() if now is None else F.lit(now).cast("timestamp")
     age = (F.unix_timestamp(moment) - F.unix_timestamp("newest_file")) / 3600.0
     return (
         reduce(DataFrame.unionByName, newest)

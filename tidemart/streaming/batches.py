@@ -7,40 +7,15 @@ a batch that is retried after a failure replaces its folders and its row.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tidemart.sources.folders import exists, numbered_folders
+
 COMMITS = "commits"
 BATCH = "batch_id"
 
 
-def _folder(spark: SparkSession, path: str):
-    """Hadoop's file system and path of a folder; works on whatever store the path names."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
-def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """The numbers n of the completely written folders ``<prefix>=n`` below a path, in order."""
-    files, where = _folder(spark, path)
-    if not files.exists(where):
-        return []
-    names = [status.getPath() for status in files.listStatus(where)]
-    found = []
-    for place in names:
-        number = re.fullmatch(rf"{prefix}=(\d+)", place.getName())
-        if number and files.exists(_folder(spark, f"{place.toString()}/_SUCCESS")[1]):
-            found.append(int(number[1]))
-    return sorted(found)
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    files, where = _folder(spark, path)
-    files.delete(where, True)
-
-
 def write_batch(df: DataFrame, root: str, table: str, batch_id: int, partition_by: str | None = None) -> None:
     writer = df.write.mode("overwrite")
     if partition_by:
@@ -55,8 +30,7 @@ def read_batches(spark: SparkSession, root: str, table: str, schema: T.StructTyp
     """
     columns = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
     columns = T.StructType([f for f in columns.fields if f.name != BATCH]).add(BATCH, "long")
-    files, where = _folder(spark, f"{root}/{table}")
-    if not files.exists(where) or not numbered_folders(spark, f"{root}/{COMMITS}", BATCH):
+    if not exists(spark, f"{root}/{table}") or not numbered_folders(spark, f"{root}/{COMMITS}", BATCH):
         return spark.createDataFrame([], columns)
     committed = spark.read.parquet(f"{root}/{COMMITS}").select(BATCH)
     return spark.read.schema(columns).parquet(f"{root}/{table}").join(committed, BATCH, "left_semi")

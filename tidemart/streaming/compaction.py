@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.streaming.batches import numbered_folders, remove_folder
+from tidemart.sources.folders import numbered_folders, remove_folder
 
 BASE, CHANGES, THROUGH = "base", "changes", "through"
 _STEP = "__step"

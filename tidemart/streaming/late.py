@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.streaming.batches import BATCH, COMMITS, numbered_folders, read_batches, write_batch
+from tidemart.sources.folders import numbered_folders
+from tidemart.streaming.batches import BATCH, COMMITS, read_batches, write_batch
 
 ROWS, LATE = "rows", "late"
 LEDGER = (
