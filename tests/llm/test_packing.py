@@ -11,16 +11,14 @@ from tidemart.llm.packing import OpenBins, WordTokenizer, best_fit_decreasing, p
 PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [
     "", "Hello, World!!", "it's ONE two\tthree\x1cfour", "İstanbul ΑΣ ας ǅ ﬁ x² ½ 3¼", "é a ́b", "日本 語",
-    "<|endoftext|> a<|startoftext|>", "dot.com... end.,;", "a b c​d", "🙂 👍🏽", "don't we're'll",
+    "<|endoftext|> a<|startoftext|>", "A <|ENDOFTEXT|> b<|endoftext|>c", "dot.com... end.,;", "a b c​d", "🙂 👍🏽", "don't we're'll",
     "café CAFÉ Öl_x __", "  two  spaces \n\n lines ", "ªº µ ß ẞ ŉ", "x" * 500,
 ]
 
 
 @pytest.fixture(scope="module")
 def library():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(library, text):

@@ -53,7 +53,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Texts in which an added token may stand are encoded whole: it is cut out before words are.
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)", re.IGNORECASE)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(self.WORD_END)]] = True
@@ -102,9 +104,19 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids (little-endian, unsigned, 32 bits) of every text."""
-        split = [[part.replace("\n", " ").split(" ") for part in slices(text)] for text in texts]
+        whole = {
+            i: self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            for i, text in enumerate(texts)
+            if self.added.search(text)
+        }
+        split = [
+            [] if i in whole else [part.replace("\n", " ").split(" ") for part in slices(text)] for i, text in enumerate(texts)
+        ]
         self.learn({word for parts in split for part in parts for word in part})
-        return [b"".join(b"".join(map(self.words.__getitem__, part)) for part in parts) for parts in split]
+        return [
+            whole[i] if i in whole else b"".join(b"".join(map(self.words.__getitem__, part)) for part in parts)
+            for i, parts in enumerate(split)
+        ]
 
     def __reduce__(self):
         raise TypeError("load a tokenizer in the worker")
