@@ -152,3 +152,9 @@ def test_components_of_paths_and_stars(spark):
     assert all(labels[i] == 100 for i in range(100, 141))
     assert all(labels[i] == 0 for i in range(30))
     assert {labels[i] for i in (50, 51, 60, 61)} == {50}
+
+
+def test_columns_of_the_caller_stay(spark):
+    docs = table(spark, [(1, "a b c d e f"), (2, "a b c d e f")], extra=("_near_row", "_near_row_"))
+    found = keep_one_each(docs).collect()
+    assert [(r.doc_id, r["_near_row"], r["_near_row_"]) for r in found] == [(1, "x", "x")]

@@ -387,17 +387,20 @@ def keep_one_each(docs: DataFrame, percent: int = 80) -> DataFrame:
     of several.  Rows are told apart by an id of their own, so rows that share a doc_id, or have
     none, go or stay by the set of each.
     """
-    rows = staged(docs.withColumn("_near_row", F.monotonically_increasing_id()), "near-rows")
+    row = "_near_row"
+    while row in docs.columns:
+        row += "_"
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "near-rows")
     found = staged(
-        near_duplicates(rows.select(F.col("_near_row").alias("doc_id"), "text"), percent).select(
-            F.col("doc_id").alias("_near_row"), "component_id"
+        near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), percent).select(
+            F.col("doc_id").alias(row), "component_id"
         ),
         "near-components",
     )
     # A row that is its component alone stays without further ado.
     several = found.groupBy("component_id").count().filter("count > 1").select("component_id")
-    copies = staged(found.join(several, "component_id").join(rows.select("_near_row", "doc_id"), "_near_row"), "near-copies")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), "_near_row")
-    stays = copies.groupBy("component_id").agg(F.min(order).alias("least")).select("least._near_row")
-    gone = staged(copies.select("_near_row").join(stays, "_near_row", "left_anti"), "near-gone")
-    return rows.join(some(gone), "_near_row", "left_anti").select(docs.columns)
+    copies = staged(found.join(several, "component_id").join(rows.select(row, "doc_id"), row), "near-copies")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast("long").alias("id"), row)
+    stays = copies.groupBy("component_id").agg(F.min(order).alias("least")).select(f"least.{row}")
+    gone = staged(copies.select(row).join(stays, row, "left_anti"), "near-gone")
+    return rows.join(some(gone), row, "left_anti").select(docs.columns)
