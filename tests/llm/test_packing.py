@@ -30,7 +30,7 @@ def test_words_as_the_library(library, sf_dir):
 
     texts = TEXTS + [x[0] or "" for x in duckdb.sql(f"select text from '{sf_dir}/documents.parquet'").fetchall()]
     words = WordTokenizer(PATH)
-    words.WORDS = words.RUNS = 500
+    words.PORTION, words.REMEMBERED = 5000, 500
     for at in range(0, len(texts), 40):
         for text, ids in zip(texts[at : at + 40], words.encode(texts[at : at + 40]), strict=True):
             assert np.frombuffer(ids, "<u4").tolist() == ids_of(library, text)[:-1].tolist(), text[:80]

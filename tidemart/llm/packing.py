@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,15 +39,17 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 class WordTokenizer:
     """Ids of words under a tokenizer that drops white space, so a text's ids are its words' ids.
 
-    Words (parts between spaces and line ends) are remembered as packed ids.  A word of plain
-    Latin letters with closing punctuation is looked up by its lower-cased letters, because the
-    tokenizer lower-cases and splits letters from punctuation; any other word is encoded whole.
+    Texts are taken in portions of bounded length.  Of a portion's words (parts between spaces and
+    line ends) each distinct one is looked at once: plain Latin letters with closing punctuation are
+    two parts, their lower-cased letters and the marks, because the tokenizer lower-cases and splits
+    letters from punctuation; any other word is one part.  Parts are remembered as packed ids, and
+    the ids of all words are gathered by index.
     """
 
-    #: Words and letter runs that are remembered at once, to bound a worker's memory.
-    WORDS, RUNS = 400_000, 900_000
+    #: Characters of a portion, and characters of parts that are remembered at once: these bound a worker's memory.
+    PORTION, REMEMBERED = 4 << 20, 6 << 20
     WORD_END = "</w>"
-    PLAIN = re.compile("([^\\W\\d_¹²³¼½¾ɐ-\U0010ffff]+)([.,;:!?]*)")
+    PLAIN = "^(?P<run>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<mark>[.,;:!?]*)$"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,64 +62,95 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(self.WORD_END)]] = True
-        self.words: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+        self.remembered = 0
 
-    def pack(self, ids: list[int]) -> bytes:
-        return np.asarray(ids, "<u4").tobytes()
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts, by the library."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
     def learn_runs(self, runs: list[str]) -> None:
         """Encode letter runs as one text; each ends with the only word-end token of its own."""
-        ids = np.asarray(self.tokenizer.encode(" ".join(runs), add_special_tokens=False).ids, "<u4")
-        bounds = np.flatnonzero(self.ends[ids]) + 1
+        [packed] = self.ids([" ".join(runs)])
+        bounds = np.flatnonzero(self.ends[np.frombuffer(packed, "<u4")]) + 1
         if len(bounds) != len(runs):
-            for run in runs:
-                self.runs[run] = self.pack(self.tokenizer.encode(run, add_special_tokens=False).ids)
+            self.parts.update(zip(runs, self.ids(runs), strict=True))
             return
-        packed, start = ids.tobytes(), 0
+        start = 0
         for run, end in zip(runs, (4 * bounds).tolist(), strict=True):
-            self.runs[run] = packed[start:end]
+            self.parts[run] = packed[start:end]
             start = end
 
-    def learn(self, words: set[str]) -> None:
-        if len(self.words) > self.WORDS:
-            self.words.clear()
-        new = [word for word in words if word not in self.words]
-        if len(self.runs) > self.RUNS:
-            self.runs.clear()
-        plain, runs = [], set()
-        for word in new:
-            if not word:
-                self.words[word] = b""
-            elif match := self.PLAIN.fullmatch(word):
-                run, mark = match[1].lower(), match[2]
-                plain.append((word, run, mark))
-                runs.add(run)
-                if mark:
-                    runs.add(mark)
+    def lookup(self, parts: list[str], runs: bool) -> list[bytes]:
+        new = [part for part in parts if part not in self.parts]
+        for at in range(0, len(new), 2000):
+            some = new[at : at + 2000]
+            self.remembered += sum(map(len, some))
+            if runs:
+                self.learn_runs(some)
             else:
-                self.words[word] = self.pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        unknown = [run for run in runs if run not in self.runs]
-        for at in range(0, len(unknown), 2000):
-            self.learn_runs(unknown[at : at + 2000])
-        for word, run, mark in plain:
-            self.words[word] = self.runs[run] + (self.runs[mark] if mark else b"")
+                self.parts.update(zip(some, self.ids(some), strict=True))
+        return list(map(self.parts.__getitem__, parts))
+
+    def forget(self) -> None:
+        self.parts, self.remembered = {"": b""}, 0
+
+    def encode_portion(self, texts: list[str]) -> list[bytes]:
+        listed = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " "), " ")
+        words = listed.values.dictionary_encode()
+        split = pc.extract_regex(words.dictionary, self.PLAIN)
+        plain = split.is_valid().to_numpy(zero_copy_only=False)
+        first = pc.if_else(split.is_valid(), pc.utf8_lower(split.field("run")), words.dictionary).dictionary_encode()
+        marks = pc.fill_null(split.field("mark"), "").dictionary_encode()
+        if self.remembered > self.REMEMBERED:
+            self.forget()
+        # A part is a run of letters for all its words or for none.
+        firsts, at = first.dictionary.to_pylist(), first.indices.to_numpy()
+        is_run = np.zeros(len(firsts), bool)
+        is_run[at[plain]] = True
+        found: list[bytes] = [b""] * len(firsts)
+        for runs in (True, False):
+            chosen = np.flatnonzero(is_run == runs).tolist()
+            for i, ids in zip(chosen, self.lookup([firsts[i] for i in chosen], runs), strict=True):
+                found[i] = ids
+        found += self.lookup(marks.dictionary.to_pylist(), runs=False)
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), "i8", len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        of_word = np.stack([at, marks.indices.to_numpy() + len(firsts)], 1)
+        used = of_word[words.indices.to_numpy()].ravel()
+        lengths = sizes[used]
+        ends = np.cumsum(lengths)
+        gathered = ids[np.repeat(starts[used] - (ends - lengths), lengths) + np.arange(lengths.sum())].tobytes()
+        bounds = (4 * np.append(0, ends)[2 * listed.offsets.to_numpy()]).tolist()
+        return [gathered[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids (little-endian, unsigned, 32 bits) of every text."""
-        whole = {
-            i: self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            for i, text in enumerate(texts)
-            if self.added.search(text)
-        }
-        split = [
-            [] if i in whole else [part.replace("\n", " ").split(" ") for part in slices(text)] for i, text in enumerate(texts)
-        ]
-        self.learn({word for parts in split for part in parts for word in part})
-        return [
-            whole[i] if i in whole else b"".join(b"".join(map(self.words.__getitem__, part)) for part in parts)
-            for i, parts in enumerate(split)
-        ]
+        found: list[list[bytes]] = [[] for _ in texts]
+        owners, portion, size = [], [], 0
+
+        def flush():
+            for owner, ids in zip(owners, self.encode_portion(portion), strict=True):
+                found[owner].append(ids)
+            owners.clear()
+            portion.clear()
+
+        for i, text in enumerate(texts):
+            if self.added.search(text):
+                found[i] = self.ids([text])
+                continue
+            for part in slices(text):
+                owners.append(i)
+                portion.append(part)
+                size += len(part)
+                if size > self.PORTION:
+                    flush()
+                    size = 0
+        if portion:
+            flush()
+        return [b"".join(ids) for ids in found]
 
     def __reduce__(self):
         raise TypeError("load a tokenizer in the worker")
