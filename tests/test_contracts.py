@@ -74,6 +74,18 @@ def test_stock_contract(spark):
     assert _codes(spark, contracts.INVENTORY, *[c[0] for c in cases]) == [c[1] for c in cases]
 
 
+def test_uuid_formats_where_asked_for(spark):
+    good = "123e4567-e89b-12d3-a456-426614174000"
+    bad = ["o1", good + "\n", good.replace("-", ""), good[:-1] + "g", "{" + good + "}", ""]
+    strict = contracts.with_uuid_formats(contracts.ORDERS)
+    records = [_changed(ORDER, order_id=x) for x in (good, good.upper(), *bad, None, 7)]
+    found = _codes(spark, strict, *records, _changed(ORDER, order_id=KeyError))
+    assert found == [[], [], *[["order_id:format"]] * len(bad), *[["order_id:type"]] * 2, ["order_id:missing"]]
+    assert _codes(spark, contracts.ORDERS, *records[:8]) == [[]] * 8
+    # Keys of other parties are text, whatever the reader asks for.
+    assert not strict["user_id"].uuid and strict["order_id"].uuid and not contracts.ORDERS["order_id"].uuid
+
+
 def test_split_keeps_every_record(spark):
     df = spark.createDataFrame([(json.dumps(STOCK),), ("nope",)], "value string")
     valid, rejected = contracts.split_valid(contracts.validate(df, contracts.INVENTORY))

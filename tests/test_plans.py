@@ -15,7 +15,7 @@ RELATIONAL = [
     "agg_funnel", "cohort_retention_calendar", "cohort_matrix", "sessions_by_gap", "sessions_by_id",
     "inventory_ledger", "inventory_snapshot", "order_pricing_check", "kpi_top_categories",
     "seed_dim_customers", "seed_agg_daily_revenue", "seed_agg_cohort_retention",
-    "silver_transactions_latest", "contract_violations_clickstream",
+    "silver_transactions_latest", "contract_violations_clickstream", "contract_uuid_formats",
 ]
 
 

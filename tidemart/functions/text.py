@@ -33,3 +33,8 @@ def status_from_event(event_type: ColumnLike) -> Column:
 
 def month_label(value: ColumnLike) -> Column:
     return F.date_format(as_col(value), "yyyy-MM")
+
+
+def uuid_text(digest: Column) -> Column:
+    """32 hexadecimal digits in the groups of a uuid."""
+    return F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")

@@ -651,6 +651,13 @@ select event_id, concat_ws(',', case when not coalesce("value" >= 5, false) then
          case when event_type = 'purchase' then 'value:unexpected' end) as violations
 from events""")
 _query("contract_violations_clickstream", ("click_codes",), "select * from click_codes")
+_query("contract_uuid_formats", (), """
+select event_id, concat_ws(',', case when not coalesce("value" >= 5, false) then 'city:missing' end,
+         case when event_id % 5 = 0 then 'event_id:format' end,
+         case when event_type in ('signup', 'error') then 'event_type:enum' end,
+         case when event_type = 'error' then 'session_id:format' end,
+         case when event_type = 'purchase' then 'value:unexpected' end) as violations
+from events""")
 _query("contract_violations_inventory", ("ledger",), """
 select concat_ws(',', case when quantity_change > 0 then 'event_type:enum' end,
          case when quantity_before + quantity_change < 0 then 'quantity_after:minimum' end) as violations,

@@ -8,7 +8,7 @@ from functools import cached_property, wraps
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.functions.text import month_label, product_url, sku, status_from_event
+from tidemart.functions.text import month_label, product_url, sku, status_from_event, uuid_text
 from tidemart.operators import (
     churn, clustering, cohorts, contracts, customers, demand, drift, experiments, funnel,
     histogram, inventory, kpis, models, orders, pricing, products, quality, rfm, seed, staging,
@@ -641,15 +641,16 @@ def dq_minimum_rows(s: Shop) -> DataFrame:
     return quality.check_minimum_rows(tables, quality.MODEL_MINIMUM_ROWS)
 
 
-def click_event_json(s: Shop) -> DataFrame:
+def click_event_json(s: Shop, event_id: Column | None = None, session_id: Column | None = None) -> DataFrame:
     """Clickstream records as JSON.  Signup and error events keep their own type,
     which the contract does not allow, and every record carries a value field."""
+    own_id = F.col("event_id").cast("string")
     mapped = {k: v for k, v in supplied.EVENT_TYPES.items() if k not in ("signup", "error")}
     k = F.get_json_object("props", "$.k")
     event = F.struct(
-        F.col("event_id").cast("string").alias("event_id"),
+        (own_id if event_id is None else event_id).alias("event_id"),
         F.col("user_id").cast("string").alias("user_id"),
-        F.md5(F.col("event_id").cast("string")).alias("session_id"),
+        (F.md5(own_id) if session_id is None else session_id).alias("session_id"),
         F.date_format(F.col("ts").cast("timestamp"), EVENT_TIME_FORMAT).alias("timestamp"),
         supplied.recode("event_type", mapped).alias("event_type"),
         product_url("https://shop.example", F.lit("Toys"), k).alias("page_url"),
@@ -675,6 +676,19 @@ def contract_violations_clickstream(s: Shop) -> DataFrame:
     )
 
 
+@query
+def contract_uuid_formats(s: Shop) -> DataFrame:
+    """Uuids made of digests; every fifth event and the sessions of errors have bare digests."""
+    event, user = F.md5(F.col("event_id").cast("string")), F.md5(F.col("user_id").cast("string"))
+    records = click_event_json(
+        s,
+        F.when(F.col("event_id") % 5 == 0, event).otherwise(uuid_text(event)),
+        F.when(F.col("event_type") == "error", user).otherwise(uuid_text(user)),
+    )
+    checked = contracts.validate(records, contracts.with_uuid_formats(contracts.CLICKSTREAM))
+    return checked.select("event_id", F.array_join(F.array_sort("violations"), ",").alias("violations"))
+
+
 @query
 def contract_violations_inventory(s: Shop) -> DataFrame:
     """Order lines as stock events; returned lines have a type the contract does not know."""
