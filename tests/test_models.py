@@ -117,3 +117,14 @@ def test_curves_of_all_models_in_one_pass(spark):
         together = models.roc_curves(scores).filter(F.col("model") == model).collect()
         assert sorted(points) == sorted(together) and max(p.tpr for p in points) == 1.0
     assert found["d"] is None
+
+
+def test_demand_importances_follow_the_signal(spark):
+    """Orders that depend on one lag only: it comes first, and the importances share out one."""
+    rnd = random.Random(9)
+    rows = [(float(rnd.randrange(100)), float(rnd.randrange(100)), float(rnd.randrange(100))) for _ in range(120)]
+    train = spark.createDataFrame([(a, b, c, 5 * b) for a, b, c in rows], "x double, y double, z double, label double")
+    found = models.importances(models.fit_demand(train, ["x", "y", "z"]), ["x", "y", "z"], spark).collect()
+    assert [r.place for r in found] == [1, 2, 3] and found[0].feature == "y"
+    assert sum(r.importance for r in found) == pytest.approx(1.0)
+    assert [r.importance for r in found] == sorted((r.importance for r in found), reverse=True)

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemart.operators.ranking import (
-    exact_quantiles, with_global_ntile, with_global_ntiles, with_global_rank, with_running_sums,
+    exact_quantiles, with_global_ntile, with_global_ntiles, tail, with_global_rank, with_running_sums,
 )
 
 
@@ -97,3 +97,13 @@ def test_a_tie_of_most_rows_is_one_row_of_the_sort(spark):
     values = sorted([0.0] * 36_000 + [float(i) for i in range(36_000, 40_000)])
     for name, q in (("p50", 0.5), ("p89", 0.89), ("p95", 0.95)):
         assert row[name] == pytest.approx(_quantile(values, q))
+
+
+def test_tail_keeps_the_order(spark):
+    rows = [(i, None if i % 5 == 0 else i % 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, v int").repartition(4)
+    ordered = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    for n in (0, 1, 7, 40, 60):
+        assert [tuple(r) for r in tail(df, ["v", "id"], n).collect()] == (ordered[-n:] if n else [])
+    assert "TakeOrderedAndProject" in tail(df, ["v", "id"], 7)._jdf.queryExecution().executedPlan().toString()
+    assert tail(df.limit(0), ["v", "id"], 3).count() == 0

@@ -168,3 +168,11 @@ def exact_quantiles(
         share = F.max(spot - F.floor(spot))
         aggregates.append((low + (high - low) * share).alias(name))
     return joined.groupBy(*by).agg(*aggregates)
+
+
+def tail(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The last n rows of an order, in that order; nulls come first, as in any ascending sort.
+
+    It is a top-k of the reversed order, so each task hands on n rows and nothing is sorted as a whole.
+    """
+    return df.orderBy(*[F.desc_nulls_last(c) for c in order]).limit(n).orderBy(*order)

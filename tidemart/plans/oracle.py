@@ -794,6 +794,8 @@ select {_round('cast(count(*) filter (where p < 0.05) as double) / count(*)', 4)
 
 # --- demand ------------------------------------------------------------------------------
 
+_query("busiest_days_tail", ("daily",), """
+select order_date, total_orders from daily order by total_orders desc, order_date desc limit 15""")
 _query("daily_demand", ("daily",), "select * from daily")
 
 
@@ -913,6 +915,23 @@ _query("stream_bronze_feeds", (), """
 select 'clickstream' as table_name, count(*) as row_count from events
 union all select 'orders', count(*) from orders
 union all select 'inventory', count(*) from lineitem""")
+_query("stream_bronze_orders", (), """
+select cast(o_orderkey as varchar) as order_id, cast(o_custkey as varchar) as user_id,
+       cast(o_orderdate as timestamp) as "timestamp", cast(cast(o_totalprice as decimal(12,2)) as double) as total_amount,
+       case when l_orderkey is not null then cast(row_number() over (partition by o_orderkey
+         order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount) - 1 as integer) end as place,
+       cast(l_partkey as varchar) as product_id, p_type as category,
+       cast(cast(l_extendedprice as decimal(12,2)) as double) as unit_price,
+       cast(cast(l_discount as decimal(4,2)) as double) as discount_pct
+from orders left join lineitem on o_orderkey = l_orderkey left join part on l_partkey = p_partkey""")
+_query("stream_bronze_inventory", ("ledger",), """
+select concat_ws('-', l_orderkey, l_linenumber, product_id, l_suppkey) as inventory_id,
+       cast(product_id as varchar) as product_id, "timestamp",
+       case when quantity_change > 0 then 'refund' else 'sale' end as event_type,
+       cast(quantity_change as integer) as quantity_change, cast(quantity_before as integer) as quantity_before,
+       cast(quantity_before + quantity_change as integer) as quantity_after, warehouse_id,
+       cast(9.5 as double) as unit_cost
+from ledger""")
 _UNIQUE_EVENTS = """
 select event_id, user_id, "timestamp", event_type, cast(json_extract_string(props, '$.k') as integer) as product_id,
        device_type, country

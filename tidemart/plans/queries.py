@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemart.functions.text import month_label, product_url, sku, status_from_event, uuid_text
 from tidemart.operators import (
     churn, clustering, cohorts, contracts, customers, demand, drift, experiments, funnel,
-    histogram, inventory, kpis, models, orders, pricing, products, quality, rfm, seed, staging,
+    histogram, inventory, kpis, models, orders, pricing, products, quality, ranking, rfm, seed, staging,
 )
 from tidemart.operators import sessions as session_ops
 from tidemart.plans import silver
@@ -689,10 +689,9 @@ def contract_uuid_formats(s: Shop) -> DataFrame:
     return checked.select("event_id", F.array_join(F.array_sort("violations"), ",").alias("violations"))
 
 
-@query
-def contract_violations_inventory(s: Shop) -> DataFrame:
-    """Order lines as stock events; returned lines have a type the contract does not know."""
-    ledger = s.ledger
+def inventory_event_json(s: Shop) -> DataFrame:
+    """Order lines as stock events with the levels before and after; returned lines have a type
+    the contract does not know."""
     event = F.struct(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "product_id", "l_suppkey").alias("inventory_id"),
         F.col("product_id").cast("string").alias("product_id"),
@@ -707,7 +706,12 @@ def contract_violations_inventory(s: Shop) -> DataFrame:
         "warehouse_id",
         F.lit(9.5).alias("unit_cost"),
     )
-    checked = contracts.validate(ledger.select(F.to_json(event).alias("value")), contracts.INVENTORY)
+    return s.ledger.select(F.to_json(event).alias("value"), "timestamp")
+
+
+@query
+def contract_violations_inventory(s: Shop) -> DataFrame:
+    checked = contracts.validate(inventory_event_json(s), contracts.INVENTORY)
     return checked.groupBy(F.array_join(F.array_sort("violations"), ",").alias("violations")).agg(
         F.count(F.lit(1)).alias("events")
     )
@@ -1064,6 +1068,18 @@ def demand_model_metrics(s: Shop) -> DataFrame:
     return models.train_demand(s.daily_revenue)[0]
 
 
+@query
+def demand_importances(s: Shop) -> DataFrame:
+    """What the demand model's predictions rest on."""
+    return models.importances(models.train_demand(s.daily_revenue)[1], demand.CATEGORY_FEATURES, s.spark)
+
+
+@query
+def busiest_days_tail(s: Shop) -> DataFrame:
+    """The last 15 days by orders, and by date among equal ones."""
+    return ranking.tail(s.daily.select("order_date", "total_orders"), ["total_orders", "order_date"], 15)
+
+
 @query
 def demand_cross_validation(s: Shop) -> DataFrame:
     return models.cross_validate_demand(s.daily)
@@ -1154,6 +1170,37 @@ def stream_bronze_feeds(s: Shop) -> DataFrame:
     return catalog.row_counts(tables)
 
 
+def _bronze(s: Shop, label: str, raw: DataFrame) -> DataFrame:
+    """The bronze table of one topic after its feed has taken in all that is there."""
+    base = fresh_dir(s.spark, f"bronze-{label}")
+    feed = ingest.Feed(label, raw, schemas.STREAMS[label])
+    for writing in ingest.start_feeds([feed], f"{base}/bronze", f"{base}/checkpoint", AVAILABLE_NOW):
+        ingest.drain(writing)
+    return catalog.read_table(s.spark, f"{base}/bronze/{label}", merge_schema=True)
+
+
+@query
+def stream_bronze_orders(s: Shop) -> DataFrame:
+    """Order events with all their items through the ingestion stream; one row per item of the bronze table."""
+    bronze = _bronze(s, "orders", nested_order_json(StreamShop(s, "orders")))
+    return bronze.select(
+        "order_id", "user_id", "timestamp", "total_amount", F.posexplode_outer("items").alias("place", "item")
+    ).select("order_id", "user_id", "timestamp", "total_amount", "place", "item.product_id", "item.category", "item.unit_price", "item.discount_pct")
+
+
+@query
+def stream_bronze_inventory(s: Shop) -> DataFrame:
+    """Stock events with their levels, arriving as files a few at a time, as the bronze table holds them."""
+    arriving = fresh_dir(s.spark, "stock-events")
+    events = inventory_event_json(s)
+    events.write.parquet(arriving)
+    bronze = _bronze(s, "inventory", ingest.file_stream(s.spark, arriving, events.schema, max_files=64))
+    return bronze.select(
+        "inventory_id", "product_id", "timestamp", "event_type", "quantity_change", "quantity_before",
+        "quantity_after", "warehouse_id", "unit_cost",
+    )
+
+
 @query
 def stream_dedupe(s: Shop) -> DataFrame:
     live = StreamShop(s, "events")
