@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.session import configure, fresh_dir
 
-#: Rows of a table in one Arrow batch.  Texts may be long, so batches stay small.
-ARROW_ROWS = "1000"
+#: Rows and bytes of a table in one Arrow batch.  Texts may be long, so batches stay small; a row
+#: beyond the bytes is a batch of its own.
+ARROW_ROWS, ARROW_BYTES = "1000", str(4 << 20)
 
 #: White space of the word rules of this package, as bytes 0x20 and 0x09 to 0x0D.
 SPACES = "[\\x20\\x09-\\x0D]"
@@ -33,6 +35,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     if ROOT not in places:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*places, ROOT])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark
 
 
@@ -52,6 +55,24 @@ def crc_bucket(column: str, buckets: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % buckets, F.lit(0))
 
 
+def emptied(run: Callable, *forget: Callable[[], None]) -> Callable:
+    """A function of Arrow batches after whose partition a worker holds on to nothing.
+
+    Workers live on from stage to stage.  ``forget`` are functions of a module, which empty what that
+    module remembers; Arrow's unused memory goes back to the system.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            for one in forget:
+                one()
+            pa.default_memory_pool().release_unused()
+
+    return whole
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike("\\p{L}"), F.lit(False))
 

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import slices, staged
+from tidemart.llm.common import emptied, slices, staged
 
 SHINGLE = 5
 ROWS = 5
@@ -62,6 +62,10 @@ class WordHashes(dict):
 WORDS = WordHashes()
 
 
+def forget() -> None:
+    WORDS.clear()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers (splitmix finalizer)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -141,7 +145,7 @@ def signatures(docs: DataFrame, percent: int, rows: int = ROWS, width: int = SHI
             )
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, bands array<long>"
+        emptied(run, forget), "doc_id long, n_shingles long, set_key binary, bands array<long>"
     )
 
 
@@ -245,7 +249,8 @@ def sets_of(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 names=["node", "size", "shingles"],
             )
 
-    return rows.select("node", "set_key", "text").mapInArrow(run, "node long, size long, shingles binary").dropDuplicates(["node"])
+    sets = rows.select("node", "set_key", "text").mapInArrow(emptied(run, forget), "node long, size long, shingles binary")
+    return sets.dropDuplicates(["node"])
 
 
 def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -279,7 +284,7 @@ def confirmed(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 kept[at] = 100 * shared >= percent * (len(both) - shared)
             yield batch.select([0, 1]).filter(pa.array(kept))
 
-    return pairs.mapInArrow(run, "a long, b long")
+    return pairs.mapInArrow(emptied(run), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import staged
-from tidemart.llm.minhash import mixed, shingles
+from tidemart.llm.common import emptied, staged
+from tidemart.llm.minhash import forget, mixed, shingles
 
 #: The closed word classes, in English, German, French and Spanish.
 NEGATIONS = (
@@ -229,7 +229,7 @@ def without_near_copies(rows: DataFrame) -> DataFrame:
                 found.append(np.array(least).view("i8").tolist())
             yield batch.append_column("sketches", pa.array(found, pa.list_(pa.int64())))
 
-    left = rows.mapInArrow(sketched, "text string, toxic int, sketches array<long>")
+    left = rows.mapInArrow(emptied(sketched, forget), "text string, toxic int, sketches array<long>")
     for at in range(SKETCHES):
         left = left.groupBy(F.get("sketches", F.lit(at))).agg(F.min(F.struct("text", "toxic", "sketches")).alias("row")).select("row.*")
     return left.select("text", "toxic")
