@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.helpers import table
 from tidemart.llm.exact_dedup import find_copies, keep_one_each
+from tidemart.session import fresh_dir
 
 ROWS = [(1, "a"), (2, "b"), (3, "a"), (4, None), (5, ""), (6, "A"), (7, "a "), (3, "a"), (None, "b"), (8, "long " * 20000)]
 
@@ -53,3 +54,25 @@ def test_kept_documents(spark):
     assert sorted(str((row.doc_id, row.text or "")) for row in found.collect()) == sorted(
         str((max(ids, key=lambda x: (x is not None, x or 0)), text)) for text, ids in groups(ROWS).items()
     )
+
+
+def test_copies_across_deliveries(spark):
+    """A second delivery meets the first one's state, a repeated call adds nothing, and no digest decides alone."""
+    parts = [ROWS[:5], [], ROWS[5:], [(None, None), (99, "a")]]
+    for digest in ({}, {"digest": lambda text: F.length(text).cast("string")}):
+        state, seen = fresh_dir(spark, "t-deliveries"), []
+        for number, part in enumerate(parts):
+            seen += part
+            docs = table(spark, part or ROWS).limit(len(part))
+            for _ in range(2):
+                found = find_copies(docs, state=state, delivery=number, **digest).collect()
+                texts = groups(seen)
+                keep = {text: max(ids, key=lambda x: (x is not None, x or 0)) for text, ids in texts.items()}
+                wanted = sorted((str(doc), str(keep[text or ""]), len(texts[text or ""])) for doc, text in part)
+                assert sorted((str(r.doc_id), str(r.keep_id), r.group_size) for r in found) == wanted
+        # Over all deliveries one row of each text stays, as it stands after the last.
+        kept = []
+        for number, part in enumerate(parts):
+            docs = table(spark, part or ROWS).limit(len(part))
+            kept += [r.keep_id for r in find_copies(docs, state=state, delivery=number, **digest).collect() if r.kept]
+        assert sorted(map(str, kept)) == sorted(str(x) for x in keep.values())

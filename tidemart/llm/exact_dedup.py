@@ -1,10 +1,15 @@
 """Exact duplicates by a stateful stream.
 
-Rows arrive as a feed of (seq, doc_id, digest).  A streaming aggregation keeps one state row
-per digest in a disk-backed (RocksDB) store without watermark, so nothing expires: how many
-rows had the digest, the stable identifier of the row that stays, and its place in the feed
-(the content locator).  The aggregation combines copies before the shuffle, so a group that
-holds a third of all rows reaches the store as one row per task and micro-batch.
+Rows arrive as a feed of (delivery, seq, doc_id, digest).  A streaming aggregation keeps one state row
+per digest in a disk-backed (RocksDB) store without watermark, so nothing expires: how many rows
+had the digest, the stable identifier of the row that stays, and its place in the feed (the content
+locator: delivery and number in it).  The aggregation combines copies before the shuffle, so a group
+that holds a third of all rows reaches the store as one row per task and micro-batch.
+
+A state folder outlives the call.  It holds the feed, the texts, the stream's checkpoint and the state
+rows of each micro-batch, so a later delivery meets the copies of all earlier ones.  A delivery that
+has been written is not written again, so a call that failed is simply repeated, and repeating an
+earlier delivery's call gives its rows as they stand now.  Without a state folder a call is alone.
 
 Hits (digests seen more than once) are confirmed on full bytes: their texts are grouped by
 (digest, text), which compares whole byte strings and also combines before the shuffle.
@@ -12,18 +17,20 @@ Should two texts share a digest, the rows of that digest are grouped by text ins
 
 Defined results: a null text counts as empty; of rows with equal text the one with the largest
 doc_id stays (null is smallest); of equal doc_ids the one latest in the feed; every row comes
-back once, repeated rows too; an empty table gives no rows.
+back once, repeated rows too; an empty table or delivery gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.llm.common import staged
 from tidemart.session import fresh_dir
+from tidemart.sources.folders import exists, numbered_folders
 
 STATE_STORE = "spark.sql.streaming.stateStore"
 STATE_CONF = {
@@ -49,23 +56,30 @@ def normalised(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame
     return docs.select("doc_id", text.alias("text"), digest(text).alias("digest"))
 
 
-def update_state(spark: SparkSession, feed: DataFrame, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
-    """Stream the staged feed through the keyed state; one row per digest comes back.
+def written_once(rows: DataFrame, folder: str, delivery: int) -> DataFrame:
+    """A delivery's rows as they were first written; then what has been written of all deliveries is read."""
+    spark = rows.sparkSession
+    if delivery not in numbered_folders(spark, folder, "delivery"):
+        rows.write.mode("overwrite").parquet(f"{folder}/delivery={delivery}")
+    columns = T.StructType([*rows.schema.fields, T.StructField("delivery", T.IntegerType())])
+    return spark.read.schema(columns).parquet(folder)
+
+
+def update_state(feed: DataFrame, folder: str, files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
+    """Stream what is new in the folder's feed through the keyed state; one row per digest comes back.
 
-    Columns: digest, group_size, best (doc_id and seq of the row that stays).  Every micro-batch
-    writes the state rows it changed into a folder of its own, which a retry replaces.
+    Columns: digest, group_size, best (doc_id, delivery and seq of the row that stays).  Every
+    micro-batch writes the state rows it changed into a folder of its own, which a retry replaces.
     """
-    source, out = feed.inputFiles(), fresh_dir(spark, "dedup-state")
-    if not source:
-        return feed.groupBy("digest").agg(
-            F.count("*").alias("group_size"), F.max(F.struct("doc_id", "seq")).alias("best")
+    spark, out = feed.sparkSession, f"{folder}/changes"
+
+    def grouped(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("digest").agg(
+            F.count("*").alias("group_size"), F.max(F.struct("doc_id", "delivery", "seq")).alias("best")
         )
-    stream = (
-        spark.readStream.schema(feed.schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(source[0].rsplit("/", 1)[0])
-        .groupBy("digest")
-        .agg(F.count("*").alias("group_size"), F.max(F.struct("doc_id", "seq")).alias("best"))
+
+    stream = grouped(
+        spark.readStream.schema(feed.schema).option("maxFilesPerTrigger", files_per_trigger).parquet(f"{folder}/feed")
     )
 
     def save(changed: DataFrame, batch: int) -> None:
@@ -78,7 +92,7 @@ def update_state(spark: SparkSession, feed: DataFrame, files_per_trigger: int =
         query = (
             stream.writeStream.outputMode("update")
             .foreachBatch(save)
-            .option("checkpointLocation", fresh_dir(spark, "dedup-checkpoint"))
+            .option("checkpointLocation", f"{folder}/checkpoint")
             .trigger(availableNow=True)
             .start()
         )
@@ -89,9 +103,12 @@ def update_state(spark: SparkSession, feed: DataFrame, files_per_trigger: int =
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+    if not exists(spark, out):
+        return grouped(feed.limit(0))
     # A digest's counts only grow, so its last state is its largest.
     return (
-        spark.read.parquet(out)
+        spark.read.schema(grouped(feed).schema)
+        .parquet(out)
         .groupBy("digest")
         .agg(F.max("group_size").alias("group_size"), F.max("best").alias("best"))
     )
@@ -105,17 +122,25 @@ def confirmed(rows: DataFrame, repeated: DataFrame) -> DataFrame:
     return hits.groupBy("digest", "text").agg(F.count("*").alias("n"))
 
 
-def find_copies(docs: DataFrame, digest: Callable[[Column], Column] = sha256, **stream) -> DataFrame:
-    """Return per row: doc_id, digest, keep_id, group_size, kept."""
-    spark = docs.sparkSession
+def find_copies(
+    docs: DataFrame, digest: Callable[[Column], Column] = sha256, state: str | None = None, delivery: int = 0, **stream
+) -> DataFrame:
+    """Return per row of this delivery: doc_id, digest, keep_id, group_size, kept.
+
+    ``state`` is a folder that all executors reach; groups then span all its deliveries, of which each
+    has a number of its own.
+    """
+    folder = state or fresh_dir(docs.sparkSession, "dedup-state")
+    mine = F.col("delivery") == delivery
     rows = normalised(docs, digest)
-    feed = staged(
-        rows.select(F.monotonically_increasing_id().alias("seq"), "doc_id", "digest"), "dedup-feed"
-    )
-    state = staged(update_state(spark, feed, **stream), "dedup-groups")
-    repeated = state.filter("group_size > 1")
+    texts = written_once(rows, f"{folder}/texts", delivery) if state else rows.withColumn("delivery", F.lit(delivery))
+    places = texts.filter(mine).select(F.monotonically_increasing_id().alias("seq"), "doc_id", "digest")
+    whole_feed = written_once(places, f"{folder}/feed", delivery)
+    feed = whole_feed.filter(mine)
+    groups = staged(update_state(whole_feed, folder, **stream), "dedup-groups")
+    repeated = groups.filter("group_size > 1")
     clashing = staged(
-        confirmed(rows, repeated.select("digest")).groupBy("digest").count().filter("count > 1").select("digest"),
+        confirmed(texts, repeated.select("digest")).groupBy("digest").count().filter("count > 1").select("digest"),
         "dedup-clashes",
     )
     # Rows alone with their digest need no partner; only the others meet their state.
@@ -125,12 +150,12 @@ def find_copies(docs: DataFrame, digest: Callable[[Column], Column] = sha256, **
             "doc_id", "digest",
             F.when(F.col("of").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
             F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-            (F.col("of").isNull() | (F.col("best.seq") == F.col("seq"))).alias("kept"),
+            (F.col("of").isNull() | ((F.col("best.delivery") == delivery) & (F.col("best.seq") == F.col("seq")))).alias("kept"),
         )
     )
     if clashing.isEmpty():
         return found
-    return found.join(clashing, "digest", "left_anti").unionByName(by_text(rows, clashing))
+    return found.join(clashing, "digest", "left_anti").unionByName(by_text(texts, clashing).filter(mine).drop("delivery"))
 
 
 def by_text(rows: DataFrame, clashing: DataFrame) -> DataFrame:
@@ -140,10 +165,10 @@ def by_text(rows: DataFrame, clashing: DataFrame) -> DataFrame:
         "dedup-clashing",
     )
     best = theirs.groupBy("digest", "text").agg(
-        F.count("*").alias("group_size"), F.max(F.struct("doc_id", "seq")).alias("best")
+        F.count("*").alias("group_size"), F.max(F.struct("doc_id", "delivery", "seq")).alias("best")
     )
     return theirs.join(best, ["digest", "text"]).select(
-        "doc_id", "digest", F.col("best.doc_id").alias("keep_id"), "group_size",
+        "doc_id", "delivery", "digest", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("best.seq") == F.col("seq")).alias("kept"),
     )
 
