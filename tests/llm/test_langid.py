@@ -77,3 +77,42 @@ def test_copies_and_many_languages_leave_no_language_out(spark):
     model = langid.fit(docs, F.lit(True), per_language=50)
     assert set(model.languages) == {lang for lang, _ in rows}
     assert {r.lang_pred for r in langid.identify(docs.filter("lang = 'xx'"), model).collect()} == {"xx"}
+
+
+def naive_scores(model, text):
+    """Language scores window by window, in plain Python."""
+    data = " " + "".join(c.lower() if "A" <= c <= "Z" else c if c >= "\x80" or "a" <= c <= "z" else " " for c in text) + " "
+    data = data.encode()
+    sums, n = [0.0] * len(model.languages), 0
+    for width in langid.GRAMS:
+        for at in range(len(data) - width + 1):
+            key = int.from_bytes(data[at : at + width], "big")
+            hashed = (key ^ key >> 15) * (2654435761 + 2 * width) % 2**32
+            bucket = hashed >> (32 - langid.BUCKET_BITS)
+            sums = [s + float(model.table[i][bucket]) for i, s in enumerate(sums)]
+            n += 1
+    logits = [(s / max(n, 1) + float(b)) / model.temperature for s, b in zip(sums, model.bias, strict=True)]
+    weights = [np.exp(x - max(logits)) for x in logits]
+    return [w / sum(weights) for w in weights]
+
+
+def test_scores_against_brute_force(spark, sf_dir, model):
+    docs = documents(spark, sf_dir).select("doc_id", "text").filter(F.col("text").rlike("\\p{L}") & (F.length("text") < 6000))
+    texts = {row.doc_id: row.text for row in docs.orderBy(F.xxhash64("doc_id")).limit(60).collect()}
+    texts |= {-1: "é", -2: "Straße 12, ÄÖ!", -3: "a" * 5000, -4: "\n\tThe  End\x00"}
+    found = langid.identify(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        p = naive_scores(model, texts[row.doc_id])
+        assert row.score == pytest.approx(max(p), abs=1e-6)
+        assert p[model.languages.index(row.lang_pred)] == pytest.approx(max(p), abs=1e-6)
+
+
+def test_sample_is_bounded_over_all_languages(spark, monkeypatch):
+    rows = [(i, f"word{i} of text number {i} in tongue {i % 20}", f"l{i % 20}") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    monkeypatch.setattr(langid, "train", lambda sample: seen.append(sample))
+    monkeypatch.setattr(langid, "SAMPLE", 400)
+    langid.fit(docs, F.lit(True))
+    assert 200 < len(seen[0]) < 600 and len({language for language, _, _ in seen[0]}) == 20

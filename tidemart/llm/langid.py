@@ -37,6 +37,8 @@ BATCH = 16
 
 #: Labelled texts that are sampled from each language, in the mean.
 PER_LANGUAGE = 600
+#: Labelled texts of all languages together, in the mean: bounds what reaches the driver.
+SAMPLE = 60_000
 
 #: Calibrated score below which a prediction is rejected, at most.
 REJECT = 0.4
@@ -194,12 +196,14 @@ def fit(docs: DataFrame, labelled: Column, per_language: int = PER_LANGUAGE) ->
     """Train on a sample of the rows for which labelled holds and lang is given.
 
     A language's share is taken of the texts that differ, so copies take no place in the sample.
+    The sample has at most about SAMPLE texts: where there are many languages, fewer of each.
     """
     rows = docs.filter(labelled & F.col("lang").isNotNull() & has_letter(F.col("text")))
     different = rows.select("lang", F.xxhash64("text").alias("digest")).distinct()
     found = different.groupBy("lang").count().collect()
     if not found:
         return None
+    per_language = max(1, min(per_language, SAMPLE // len(found)))
     draw = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / (1 << 20)
     share = F.create_map(*(F.lit(x) for row in found for x in (row["lang"], per_language / row["count"])))
     sample = rows.filter(draw < share[F.col("lang")]).select("lang", "text").distinct()

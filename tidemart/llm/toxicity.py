@@ -62,8 +62,6 @@ LEAST_Z = 6.5
 LEAST_SUPPORT = 5
 #: Sketches by which near copies are taken out of the sample, so that none votes many times.
 SKETCHES = 3
-#: Stems and words that are learned: the most telling ones.
-LEXICON = 2000
 REACH = 3
 CHANNELS = ("plain", "aimed", "negated", "reported", "threat")
 
@@ -292,8 +290,8 @@ def learn_insults(
         counted.filter((F.col("hits") >= LEAST_SUPPORT) & (z >= LEAST_Z))
         .select("feature", odds.alias("weight"), z.alias("z"))
         .orderBy(F.desc("z"), "feature")
-        .limit(LEXICON)
     )
+    # Each has LEAST_SUPPORT hits in the sample, which bounds them.
     return {row["feature"]: row["weight"] for row in best.collect()}
 
 
