@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import slices
+from tidemart.llm.common import emptied, slices
 
 CAPACITY = 2048
 SEPARATOR = 0
@@ -167,6 +167,12 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(path)
+        try:
+            yield from cut_with(encoder, batches)
+        finally:
+            encoder.forget()
+
+    def cut_with(encoder: WordTokenizer, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -183,7 +189,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, separator: int
             n = len(names) - (not with_ids)
             yield pa.RecordBatch.from_arrays(columns[:n], names=names[:n])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES + ", ids binary" * with_ids)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(emptied(cut), PIECES + ", ids binary" * with_ids)
 
 
 class OpenBins:
