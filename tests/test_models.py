@@ -128,3 +128,14 @@ def test_demand_importances_follow_the_signal(spark):
     assert [r.place for r in found] == [1, 2, 3] and found[0].feature == "y"
     assert sum(r.importance for r in found) == pytest.approx(1.0)
     assert [r.importance for r in found] == sorted((r.importance for r in found), reverse=True)
+
+
+def test_training_rows_are_dealt_evenly(spark):
+    """Rows of one class used to meet in one task, so two tasks trained whatever the number of rows."""
+    numbers = [F.pmod(F.xxhash64("id", F.lit(c)), F.lit(50)).cast("double").alias(c) for c in churn.FEATURES]
+    rows = spark.range(50_000).select(F.col("id").alias("user_id"), *numbers, (F.col("id") % 3 == 0).alias("label"))
+    train, test = models.prepare_churn(rows)
+    assert (train.count(), test.count()) == (40_000, 10_000)
+    sizes = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 40_000 / 6
+    assert test.rdd.getNumPartitions() == 2 and train.select("user_id").distinct().count() == 40_000

@@ -37,6 +37,8 @@ DEMAND_TREES, DEMAND_DEPTH, DEMAND_RATE = 100, 4, 0.05
 LOGISTIC_ITERATIONS = 500
 CHURN_MIN_ROWS = 50
 DEMAND_MIN_ROWS = 30
+# Training rows a task has at least: below, the start of a task costs more than its rows.
+ROWS_PER_TASK = 5_000
 
 
 def training_frame(features: DataFrame, columns: Sequence[str], label: str, keys: Sequence[str]) -> DataFrame:
@@ -70,11 +72,26 @@ def stratified_split(
     classes = ranked.groupBy(F.col(label).alias("__class")).agg(
         (F.min("__rank") - 1).alias("__before"), F.floor(F.count(F.lit(1)) * test_share + 0.5).alias("__held")
     )
-    placed = ranked.join(classes, F.col(label).eqNullSafe(F.col("__class")))
+    # One row per class: sent to the rows, which a shuffle by class would gather in one task each.
+    placed = ranked.join(F.broadcast(classes), F.col(label).eqNullSafe(F.col("__class")))
     held_out = F.col("__rank") - F.col("__before") <= F.col("__held")
     return tuple(placed.filter(side).select(*df.columns) for side in (~held_out, held_out))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows settled, and dealt evenly to as many tasks as their number is worth.
+
+    Training passes over them hundreds of times; adaptive execution sizes partitions by
+    compressed bytes, which are few here, and not by the work.  The layout follows the
+    rows' values, so bootstrap samples are the same in every run.
+    """
+    settled = cut_lineage(rows)
+    tasks = min(settled.count() // ROWS_PER_TASK, rows.sparkSession.sparkContext.defaultParallelism)
+    if tasks <= 1:
+        return settled
+    return cut_lineage(settled.repartition(tasks, *rows.columns).sortWithinPartitions(*rows.columns))
+
+
 def _with_vector(columns: Sequence[str], estimator) -> Pipeline:
     return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="features"), estimator])
 
@@ -122,7 +139,7 @@ def prepare_churn(
     """Train and test frames, settled so that boosting rounds do not rebuild the features."""
     rows = cut_lineage(training_frame(features, columns, "label", ["user_id"]))
     require_rows(rows, CHURN_MIN_ROWS)
-    return stratified_split(rows, "user_id")
+    return tuple(spread(side) for side in stratified_split(rows, "user_id"))
 
 
 def compare_churn_models(
