@@ -7,6 +7,7 @@ import pytest
 
 from tidemart import schemas
 from tidemart.operators.contracts import INVENTORY
+from tidemart.plans import queries
 from tidemart.session import fresh_dir
 from tidemart.sources import folders
 from tidemart.streaming import batches, compaction, ingest, late, quarantine
@@ -149,3 +150,13 @@ def test_compacted_updates_equal_the_whole_history(spark):
 def test_reading_before_the_first_batch(spark):
     with pytest.raises(FileNotFoundError):
         compaction.read_compacted(spark, fresh_dir(spark, "t-none"), ["product_id"])
+
+
+def test_a_stock_batch_is_read_by_several_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    """Each micro-batch used to be one file, written and read by one task."""
+    monkeypatch.setattr(queries, "fresh_dir", lambda session, label: f"{tmp_path}/{label}")
+    stored = queries.QUERIES["stream_stock_compacted"](spark, sf_dir)
+    assert stored.count() == spark.read.parquet(f"{tmp_path}/stock/events").select("product_id", "warehouse_id").distinct().count()
+    files = list((tmp_path / "stock" / "events").glob("*.parquet"))
+    batches = [x for x in (tmp_path / "stock" / "checkpoint" / "commits").iterdir() if x.name.isdigit()]
+    assert len(batches) == queries.STOCK_BATCHES and len(files) == queries.STOCK_BATCHES * spark.sparkContext.defaultParallelism

@@ -1328,14 +1328,19 @@ def stream_late_ledger(s: Shop) -> DataFrame:
     return late.late_ledger(s.spark, f"{base}/table").drop("query")
 
 
+STOCK_BATCHES = 6
+
+
 @query
 def stream_stock_compacted(s: Shop) -> DataFrame:
     """stream_latest_stock in several micro-batches, whose updates are compacted."""
     base = fresh_dir(s.spark, "stock")
     order, keys = [*supplied.MOVEMENT_ORDER], list(inventory.KEYS)
     events = s.ledger.select(*keys, *order, "quantity_after")
-    events.repartition(6).write.parquet(f"{base}/events")
-    arriving = ingest.file_stream(s.spark, f"{base}/events", events.schema, max_files=1)
+    # As many files in a micro-batch as tasks can read at once: one file is one task's work at a time.
+    files = s.spark.sparkContext.defaultParallelism
+    events.repartition(STOCK_BATCHES * files, *order).write.parquet(f"{base}/events")
+    arriving = ingest.file_stream(s.spark, f"{base}/events", events.schema, max_files=files)
     updates = stateful.stock_changes(arriving, keys, order, "quantity_after")
     ingest.drain(
         compaction.write_compacted(updates, f"{base}/table", f"{base}/checkpoint", AVAILABLE_NOW, keys, every=4)
