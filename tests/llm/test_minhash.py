@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from tests.llm.helpers import table
+from tidemart.llm import minhash
 from tidemart.llm.minhash import Signer, components, keep_one_each, near_duplicates, shingles
 
 
@@ -158,3 +159,32 @@ def test_columns_of_the_caller_stay(spark):
     docs = table(spark, [(1, "a b c d e f"), (2, "a b c d e f")], extra=("_near_row", "_near_row_"))
     found = keep_one_each(docs).collect()
     assert [(r.doc_id, r["_near_row"], r["_near_row_"]) for r in found] == [(1, "x", "x")]
+
+
+def test_sketches_never_differ_in_more_bits_than_sets():
+    rng = np.random.default_rng(5)
+    for size, own in ((8, 0), (8, 3), (60, 9), (900, 200)):
+        base = rng.integers(0, 1 << 63, size, dtype="u8")
+        one, two = (np.unique(np.append(base, rng.integers(0, 1 << 63, own, dtype="u8"))) for _ in range(2))
+        bits = int(np.unpackbits((minhash.sketch(one) ^ minhash.sketch(two)).view("u1")).sum())
+        assert bits <= len(np.setxor1d(one, two))
+
+
+def test_stars_leave_out_pairs_whose_sketches_rule_a_link_out(spark):
+    """Every shingle is in some other set too, so what sets share at most rules nothing out."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, 90, dtype="u8")
+    near = [np.append(base, rng.integers(0, 1 << 63, 3, dtype="u8")) for _ in range(2)]
+    far = [np.append(base[:80], rng.integers(0, 1 << 63, 30, dtype="u8")) for _ in range(12)]
+    sets = [np.unique(x) for x in near + far]
+    packed = spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(sets)], "node long, shingles binary")
+    sizes = spark.createDataFrame([(1, i, i, len(x), len(x)) for i, x in enumerate(sets)], "bucket long, node long, component long, size long, shared long")
+    members = sizes.join(minhash.sketches(packed), "node")
+    centres = minhash.centres_of(members, 1000)
+    edges = {tuple(r) for r in minhash.stars(members, centres, 85).collect()}
+    linked = {
+        (i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+        if 100 * len(np.intersect1d(sets[i], sets[j])) >= 85 * len(np.union1d(sets[i], sets[j]))
+    }
+    assert linked and linked <= edges
+    assert len(edges) <= 2 * len(linked)

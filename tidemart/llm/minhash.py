@@ -15,7 +15,8 @@ with further centres (some per bucket and round, each once) until every bucket i
 or each member has been a centre.  Members of one component need no further comparison.  Nor do
 sets that cannot reach the similarity: of the shingles of the sets still in question, those that
 only one set has are counted, and what two sets have in common is at most what each shares with
-any other.  That bound is exact, and in a large group of edited copies it leaves few comparisons.
+any other.  Nor do two sets whose parity sketches differ in more bits than the sets may differ in
+shingles.  Both bounds are exact, and in a large group of edited copies they leave few comparisons.
 
 Defined results: words are split at white space after lower-casing A-Z; fewer words than the
 shingle length make one shingle; no words (or null text) make an empty set that is linked with
@@ -40,9 +41,12 @@ ROWS = 5
 #: Bands by similarity in percent: a pair at the threshold shares no band in one of 100,000 cases or less.
 BANDS = {85: 24, 80: 36}
 
-#: Centres of one bucket in a round after the first, at least; and comparisons up to which a round
-#: takes more, so that the last small buckets need no rounds of their own.
-CENTRES, COMPARISONS = 64, 1_000_000
+#: Centres of one bucket in a round after the first, at least; and comparisons of sketches up to which a
+#: round takes more, so that the last small buckets need no rounds of their own.
+CENTRES, COMPARISONS = 64, 20_000_000
+
+#: Columns of a set's parity sketch, 64 bits each.
+SKETCH = tuple(f"sketch{i}" for i in range(8))
 
 #: Node ids (8 bytes) that may be broadcast to pick the texts of candidates.
 BROADCAST_NODES = 500_000
@@ -185,6 +189,30 @@ def shared_sizes(sets: DataFrame) -> DataFrame:
     )
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """One bit for each of 512 classes of hashes: whether an odd number of the set's hashes is in it.
+
+    A shingle that one of two sets has alone turns one bit, so the sketches differ in no more bits
+    than the sets in shingles.
+    """
+    bits = 64 * len(SKETCH)
+    odd = np.bincount((hashes % np.uint64(bits)).astype("i8"), minlength=bits) & 1
+    return np.packbits(odd.astype("u1")).view("i8")
+
+
+def sketches(sets: DataFrame) -> DataFrame:
+    """node and the columns of its sketch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sketch(np.frombuffer(packed.as_buffer(), "u8")) for packed in batch.column(1)]
+            columns = np.array(found, "i8").reshape(-1, len(SKETCH)).T
+            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, columns)], names=["node", *SKETCH])
+
+    schema = ", ".join(["node long", *(f"{c} long" for c in SKETCH)])
+    return sets.select("node", "shingles").mapInArrow(emptied(run), schema)
+
+
 def centres_of(members: DataFrame, slots: int) -> DataFrame:
     """Centres of each bucket: the node of the smallest component in each of so many slots.
 
@@ -192,7 +220,7 @@ def centres_of(members: DataFrame, slots: int) -> DataFrame:
     """
     weights = members.groupBy("bucket", "component").agg(F.count("*").alias("weight"))
     slot = F.pmod(F.xxhash64("node"), F.lit(slots))
-    least = F.min(F.struct("weight", "node", "component", "size", "shared")).alias("least")
+    least = F.min(F.struct("weight", "node", "component", "size", "shared", *SKETCH)).alias("least")
     return (
         members.join(weights, ["bucket", "component"])
         .groupBy("bucket", slot.alias("slot"))
@@ -200,6 +228,7 @@ def centres_of(members: DataFrame, slots: int) -> DataFrame:
         .select(
             "bucket", F.col("least.node").alias("centre"), F.col("least.component").alias("centre_component"),
             F.col("least.size").alias("centre_size"), F.col("least.shared").alias("centre_shared"),
+            *(F.col(f"least.{c}").alias(f"centre_{c}") for c in SKETCH),
         )
     )
 
@@ -208,9 +237,13 @@ def stars(members: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) from centres to the members of other components that can be linked.
 
     Two sets have in common at most what either shares with any other set; a link needs
-    percent / (100 + percent) of both sizes.
+    percent / (100 + percent) of both sizes, so the shingles that one of them has alone are at most
+    (100 - percent) / (100 + percent) of both, and their sketches differ in no more bits.
     """
-    can = F.least("shared", "centre_shared") * (100 + percent) >= (F.col("size") + F.col("centre_size")) * percent
+    both = F.col("size") + F.col("centre_size")
+    can = F.least("shared", "centre_shared") * (100 + percent) >= both * percent
+    differ = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"centre_{c}"))) for c in SKETCH)
+    can = can & (differ * (100 + percent) <= both * (100 - percent))
     return (
         members.join(centres, "bucket")
         .filter((F.col("component") != F.col("centre_component")) & can)
@@ -344,7 +377,8 @@ def near_links(docs: DataFrame, nodes: DataFrame, percent: int, width: int = SHI
     if not members.isEmpty():
         present = staged(members.select("node").distinct(), "near-present")
         sets = sets.unionByName(load(present.join(sets.select("node"), "node", "left_anti")))
-        sizes = staged(shared_sizes(sets.join(some(present), "node", "left_semi")), "near-sizes")
+        asked = sets.join(some(present), "node", "left_semi")
+        sizes = staged(shared_sizes(asked).join(sketches(asked), "node"), "near-sizes")
         linkable = sizes.filter(F.col("shared") * 100 >= F.col("size") * percent)
         members = staged(unresolved(members.join(some(linkable), "node"), labels), "near-open")
     while not members.isEmpty():
